@@ -62,14 +62,11 @@ def fit_calibrated(
     try:
         for i in range(folds):
             features, raw = f"features_{i}", f"raw_{i}"
-            classifier = learner(
-                label,
-                features,
-                seed,
-                rawPredictionCol=raw,
-                probabilityCol=f"probability_{i}",
-                predictionCol=f"prediction_{i}",
-                **overrides,
+            classifier = (
+                learner(label, features, seed, **overrides)
+                .setRawPredictionCol(raw)
+                .setProbabilityCol(f"probability_{i}")
+                .setPredictionCol(f"prediction_{i}")
             )
             fitted = Pipeline(
                 stages=[*feature_stages(categorical, numeric, out=features), classifier]

@@ -20,11 +20,13 @@ from faultline.operators.ranking import top_k
 
 
 def with_failure_probability(df: DataFrame, model: PipelineModel, out: str = "p_failure") -> DataFrame:
-    """Input columns plus the failure probability, whatever the model kind."""
-    scored = model.transform(df)
-    if out not in scored.columns:
-        scored = scored.withColumn(out, vector_element("probability"))
-    return scored.select(*[c for c in df.columns if c != out], out)
+    """Input columns plus the failure probability: the calibrated score of a
+    calibrated model, else element 1 of the classifier's probability vector."""
+    plain = df.drop("p_failure", "probability", out)
+    scored = model.transform(plain)
+    calibrated = "p_failure" in scored.columns
+    value = F.col("p_failure") if calibrated else vector_element("probability")
+    return scored.select(*plain.columns, value.alias(out))
 
 
 def serving_rows(df: DataFrame, label: str = TARGET) -> DataFrame:

@@ -57,15 +57,15 @@ def stratified_parts(
         (upto - F.col("_n")).alias("_before"),
         upto.alias("_upto"),
         F.sum("_n").over(of_class).alias("_class_rows"),
-        F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(i).alias("_cut"), F.lit(share).alias("_share"))
-                    for i, share in enumerate(cumulative)
-                ]
-            )
-        ).alias("_c"),
-    ).select("*", "_c.*")
+    )
+    # a select of its own: in one select Spark would explode before the windows
+    shares = F.array(
+        *[
+            F.struct(F.lit(i).alias("_cut"), F.lit(share).alias("_share"))
+            for i, share in enumerate(cumulative)
+        ]
+    )
+    sized = sized.select("*", F.inline(shares))
     quota = F.floor(F.col("_class_rows") * F.col("_share") + F.lit(0.5))
     holds_cut = (F.col("_before") < quota) & (quota <= F.col("_upto"))
     empty_part = (quota == 0) & (F.col("_before") == 0)
@@ -128,8 +128,17 @@ def stratified_folds(
 
 def split_frames(df: DataFrame, flag: str = "is_test") -> tuple[DataFrame, DataFrame]:
     """(train, test) frames; raises when either is empty."""
-    train, test = df.filter(~F.col(flag)).drop(flag), df.filter(F.col(flag)).drop(flag)
-    sides = df.agg(F.count_if(F.col(flag)).alias("test"), F.count("*").alias("rows")).first()
-    if sides["test"] in (0, sides["rows"]):
+    return split_counted(df, flag)[:2]
+
+
+def split_counted(
+    df: DataFrame, flag: str = "is_test"
+) -> tuple[DataFrame, DataFrame, int, int]:
+    """(train, test, train rows, test rows), both counted in one scan."""
+    sides = df.agg(
+        F.count_if(~F.col(flag)).alias("train"), F.count_if(F.col(flag)).alias("test")
+    ).first()
+    if not sides["train"] or not sides["test"]:
         raise ValueError("train or test part is empty")
-    return train, test
+    train, test = df.filter(~F.col(flag)).drop(flag), df.filter(F.col(flag)).drop(flag)
+    return train, test, sides["train"], sides["test"]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, replace
 
 from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from faultline.models.features import CATEGORICAL, FULL_NUMERIC, SAFE_NUMERIC, TARGET
@@ -15,7 +16,7 @@ from faultline.models.train import forest
 from faultline.operators import cleaning, quality
 from faultline.operators.curves import auc_fast
 from faultline.operators.metrics import binary_metrics, confusion_cells
-from faultline.operators.splitting import hash_split, split_frames
+from faultline.operators.splitting import hash_split, split_counted
 from faultline.schemas import CLEAN_COLUMNS, raw_text_schema
 from faultline.sources.readers import read_csv
 from faultline.sources.tables import ensure_table, use_namespace, write_checked
@@ -67,19 +68,24 @@ def build_silver(
         quality.cast_loss_report(cleaning.cast_losses(bronze))
     )
     warned = quality.enforce(report)
-    return write_checked(silver, SILVER, fmt), warned
+    # one typed row per bronze row: counting bronze reads no column
+    return write_checked(silver, SILVER, fmt, expected_rows=bronze.count()), warned
 
 
 def build_gold(
     silver: DataFrame, include_flags: bool = False, fmt: str = "parquet"
 ) -> tuple[DataFrame, PipelineModel]:
-    """Ids, label and feature vector; every row must have a vector."""
+    """Ids, label and feature vector; every vector must be free of NaN, which
+    a missing sensor value becomes and no learner accepts."""
     ready = silver if include_flags else engineered(silver)
     numeric = FULL_NUMERIC if include_flags else SAFE_NUMERIC
     fitted = Pipeline(stages=feature_stages(CATEGORICAL, numeric)).fit(ready)
     gold = fitted.transform(ready).select("udi", "product_id", TARGET, "features")
-    written = write_checked(gold, GOLD, fmt)
-    quality.enforce(quality.quality_report(written, quality.Rules(not_null=("features",))))
+    written = write_checked(gold, GOLD, fmt, expected_rows=silver.count())
+    finite = F.when(~F.exists(vector_to_array("features"), F.isnan), F.lit(1)).alias("features")
+    quality.enforce(
+        quality.quality_report(written.select(finite), quality.Rules(not_null=("features",)))
+    )
     return written, fitted
 
 
@@ -103,10 +109,10 @@ def run(
     silver, warned = build_silver(bronze, expected_rows=expected_rows, fmt=fmt)
     gold, _ = build_gold(silver, include_flags, fmt)
 
-    train, test = split_frames(hash_split(gold, "udi", test_fraction, seed))
+    train, test, _, test_rows = split_counted(hash_split(gold, "udi", test_fraction, seed))
     model = PipelineModel([forest(seed=seed, **forest_settings).fit(train)])
     scored = model.transform(test)
-    predictions = write_checked(serving_rows(scored), PREDICTIONS, fmt, severity="warn")
+    predictions = write_checked(serving_rows(scored), PREDICTIONS, fmt, "warn", test_rows)
     metrics = binary_metrics(predictions, TARGET, "prediction").first()
     warned += quality.enforce(
         quality.missed_failures_report(confusion_cells(predictions, TARGET, "prediction"))

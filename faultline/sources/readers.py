@@ -13,7 +13,8 @@ from faultline.schemas import log_schema, predictions_csv_schema, predictions_te
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType, multiline: bool = False) -> DataFrame:
-    """Header CSV read by the executors under an explicit schema.
+    """Header CSV read by the executors under an explicit schema. A blank
+    field is a missing value.
 
     ``multiline`` allows line breaks inside quotes; such a file cannot be
     split, so it is for logs of free text and not for sensor tables.

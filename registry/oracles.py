@@ -763,10 +763,12 @@ add(
     "select cast(udi as integer) as udi, machine_failure, prediction, prob_failure from scored",
     SCORED,
 )
+# a blank CSV field reads back as missing
 add(
     "log_round_trip",
-    """select timestamp, machine_id, technician, urgency, transcript, '' as ai_response, '' as detected_language,
-      cast(conv_id as varchar) || '/' || cast(turn as varchar) as source, '' as audio_filename from field_log""",
+    """select timestamp, machine_id, technician, urgency, transcript, null::varchar as ai_response,
+      null::varchar as detected_language, cast(conv_id as varchar) || '/' || cast(turn as varchar) as source,
+      null::varchar as audio_filename from field_log""",
     FIELD_LOG,
 )
 add("table_round_trip", "select * from sensors", SENSORS)

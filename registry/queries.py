@@ -627,7 +627,7 @@ def score_and_alert(spark, sf_dir):
 @query
 def medallion_predictions(spark, sf_dir):
     path, place = new_path(spark, "raw-csv"), new_path(spark, "medallion")
-    writers.write_csv(views.raw_text(spark, sf_dir), path)
+    writers.write_csv(views.raw_text(spark, sf_dir, damaged=False), path)
     name = "faultline_" + place.rsplit("-", 1)[-1]
     done = medallion.run(spark, path, name, place, export_path=new_path(spark, "exported"))
     spark.sql("USE default")

@@ -76,14 +76,16 @@ def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(*[c.alias(n) for n, c in columns.items()])
 
 
-def raw_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw file's columns as text, with unreadable and NaN torque fields."""
+def raw_text(spark: SparkSession, sf_dir: str, damaged: bool = True) -> DataFrame:
+    """The raw file's columns as text; some torque fields unreadable or NaN."""
     base = labelled(spark, sf_dir)
-    torque = (
-        F.when(F.col("udi") % 97 == 0, F.lit("n/a"))
-        .when(F.col("udi") % 101 == 0, F.lit("NaN"))
-        .otherwise(F.col("torque_nm").cast("string"))
-    )
+    torque = F.col("torque_nm").cast("string")
+    if damaged:
+        torque = (
+            F.when(F.col("udi") % 97 == 0, F.lit("n/a"))
+            .when(F.col("udi") % 101 == 0, F.lit("NaN"))
+            .otherwise(torque)
+        )
     named = {
         "UDI": "udi",
         "Product ID": "product_id",
