@@ -8,7 +8,9 @@ score is the mean over folds. The result is one ordinary ``PipelineModel``.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import SQLTransformer
 from pyspark.ml.functions import vector_to_array
@@ -20,9 +22,8 @@ from faultline.models.features import (
     SAFE_NUMERIC,
     TARGET,
     feature_stages,
-    helper_columns,
 )
-from faultline.models.train import SEED, boosting
+from faultline.models.train import SEED, boosting, spread
 from faultline.operators.splitting import stratified_folds
 from faultline.storage import enable_checkpoints
 
@@ -53,42 +54,55 @@ def fit_calibrated(
     seed: int = SEED,
     out: str = "p_failure",
     learner: Callable = boosting,
+    parallelism: int = FOLDS,
     **overrides,
 ) -> PipelineModel:
     """Fit ``folds`` models with their isotonic curves; one pipeline results."""
     enable_checkpoints(train.sparkSession)
-    assigned = stratified_folds(train, label, key, folds, seed, "_fold").persist()
-    stages, helpers, parts = [], [], []
+    assigned = spread(stratified_folds(train, label, key, folds, seed, "_fold")).persist()
+
+    def fit_fold(i: int) -> list:
+        features, raw = f"features_{i}", f"raw_{i}"
+        classifier = (
+            learner(label, features, seed, **overrides)
+            .setRawPredictionCol(raw)
+            .setProbabilityCol(f"probability_{i}")
+            .setPredictionCol(f"prediction_{i}")
+        )
+        fitted = Pipeline(
+            stages=[*feature_stages(categorical, numeric, out=features), classifier]
+        ).fit(assigned.filter(F.col("_fold") != i))
+        held_out = fitted.transform(assigned.filter(F.col("_fold") == i)).select(
+            vector_to_array(raw)[1].alias("_raw"), label
+        )
+        curve = fit_isotonic(held_out, "_raw", label)
+        # at scoring time the curve reads element 1 of the raw vector
+        curve.setFeaturesCol(raw).setFeatureIndex(1).setPredictionCol(f"calibrated_{i}")
+        return [*fitted.stages, curve]
+
+    # folds are independent: fitted side by side, as CrossValidator does
     try:
-        for i in range(folds):
-            features, raw = f"features_{i}", f"raw_{i}"
-            classifier = (
-                learner(label, features, seed, **overrides)
-                .setRawPredictionCol(raw)
-                .setProbabilityCol(f"probability_{i}")
-                .setPredictionCol(f"prediction_{i}")
-            )
-            fitted = Pipeline(
-                stages=[*feature_stages(categorical, numeric, out=features), classifier]
-            ).fit(assigned.filter(F.col("_fold") != i))
-            held_out = fitted.transform(assigned.filter(F.col("_fold") == i)).select(
-                vector_to_array(raw)[1].alias("_raw"), label
+        with ThreadPool(parallelism) as pool:
+            fold_stages = pool.map(
+                inheritable_thread_target(assigned.sparkSession)(fit_fold), range(folds)
             )
-            curve = fit_isotonic(held_out, "_raw", label)
-            # at scoring time the curve reads element 1 of the raw vector
-            curve = curve.setFeaturesCol(raw).setFeatureIndex(1).setPredictionCol(f"calibrated_{i}")
-            stages += [*fitted.stages, curve]
-            parts.append(f"calibrated_{i}")
-            helpers += [
-                features,
-                raw,
-                f"probability_{i}",
-                f"prediction_{i}",
-                f"calibrated_{i}",
-                *helper_columns(categorical, features)[: 2 * len(categorical)],
-            ]
     finally:
         assigned.unpersist()
+    stages = [stage for fold in fold_stages for stage in fold]
+    parts = [f"calibrated_{i}" for i in range(folds)]
+    helpers = [
+        name
+        for i in range(folds)
+        for name in (
+            f"features_{i}",
+            *[f"features_{i}_{c}_index" for c in categorical],
+            *[f"features_{i}_{c}_onehot" for c in categorical],
+            f"raw_{i}",
+            f"probability_{i}",
+            f"prediction_{i}",
+            f"calibrated_{i}",
+        )
+    ]
     mean = SQLTransformer(
         statement=(
             f"SELECT * EXCEPT ({', '.join(helpers)}), "

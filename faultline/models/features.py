@@ -103,16 +103,6 @@ def feature_stages(
     ]
 
 
-def helper_columns(categorical: Sequence[str] = CATEGORICAL, out: str = "features") -> list[str]:
-    """Columns the stages add besides ``out``."""
-    return [
-        *[f"{out}_{c}_index" for c in categorical],
-        *[f"{out}_{c}_onehot" for c in categorical],
-        f"{out}_numbers",
-        f"{out}_scaled",
-    ]
-
-
 def feature_vectors(
     df: DataFrame,
     include_flags: bool = False,

@@ -17,6 +17,7 @@ from faultline.models.features import (
 from faultline.operators.alerts import rank_and_flag
 from faultline.operators.cleaning import require_columns
 from faultline.operators.ranking import top_k
+from faultline.storage import materialize
 
 
 def with_failure_probability(df: DataFrame, model: PipelineModel, out: str = "p_failure") -> DataFrame:
@@ -49,10 +50,13 @@ def score_and_alert(
 ) -> DataFrame:
     """Engineer, check, score, rank, flag the top k, put key columns first.
 
+    Scored rows are written before they are ranked: a range sort reads its
+    input twice (once to find the ranges) and must not run the model twice.
     One row is scored by the same path as a table.
     """
     ready = require_columns(engineered(df), [*categorical, *numeric])
-    return rank_and_flag(with_failure_probability(ready, model), k, key)
+    scored = materialize(with_failure_probability(ready, model), "scored")
+    return rank_and_flag(scored, k, key)
 
 
 def inspect_list(

@@ -35,6 +35,15 @@ def boosting(label: str = TARGET, features: str = "features", seed: int = SEED,
     )
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """At least one partition per core, for rows a learner scans many times.
+
+    A large table has far more partitions and is left alone.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
+
+
 def fit_forest(
     train: DataFrame,
     numeric: Sequence[str] = SAFE_NUMERIC,
@@ -43,7 +52,7 @@ def fit_forest(
     **overrides,
 ) -> PipelineModel:
     stages = feature_stages(categorical, numeric)
-    return Pipeline(stages=[*stages, forest(label, **overrides)]).fit(train)
+    return Pipeline(stages=[*stages, forest(label, **overrides)]).fit(spread(train))
 
 
 def fit_boosting(
@@ -55,7 +64,7 @@ def fit_boosting(
 ) -> PipelineModel:
     enable_checkpoints(train.sparkSession)
     stages = feature_stages(categorical, numeric)
-    return Pipeline(stages=[*stages, boosting(label, **overrides)]).fit(train)
+    return Pipeline(stages=[*stages, boosting(label, **overrides)]).fit(spread(train))
 
 
 def with_class_weights(df: DataFrame, label: str = TARGET, out: str = "class_weight") -> DataFrame:
@@ -88,7 +97,9 @@ def fit_logistic(
         labelCol=label, featuresCol="features", weightCol="class_weight", **settings
     )
     stages = feature_stages(categorical, numeric, scaled=True)
-    return Pipeline(stages=[*stages, learner]).fit(with_class_weights(train, label))
+    return Pipeline(stages=[*stages, learner]).fit(
+        spread(with_class_weights(train, label))
+    )
 
 
 def save_model(model: PipelineModel, path: str) -> None:

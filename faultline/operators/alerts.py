@@ -38,15 +38,19 @@ def filter_scored(
     category: str = "type",
     score: str = "p_failure",
 ) -> DataFrame:
-    """All optional filters as one conjunction; absent columns are skipped."""
+    """All optional filters as one conjunction; absent columns are skipped.
+
+    Plain comparisons, so they reach the file scan. NaN is above every number
+    in Spark: a range's upper end excludes it, a minimum needs a test of its own.
+    """
     tests: list[Column] = []
     if min_score is not None:
-        tests.append(nan_to_null(score) >= F.lit(float(min_score)))
+        tests += [F.col(score) >= F.lit(float(min_score)), ~F.isnan(score)]
     if categories and category in df.columns:
         tests.append(F.col(category).isin(list(categories)))
     for name, (low, high) in (ranges or {}).items():
         if name in df.columns:
-            tests.append(nan_to_null(name).between(low, high))
+            tests.append(F.col(name).between(low, high))
     if alerts_only:
         tests.append(F.col("alert_topk"))
     return df.filter(reduce(Column.__and__, tests)) if tests else df

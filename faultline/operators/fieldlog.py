@@ -135,8 +135,7 @@ def machine_reports(
     reports = with_units(log.select("machine_id", *log_columns), mode).select("udi", *log_columns)
     units = machines.withColumn("udi", F.col("udi").cast("bigint"))
     matched = reports.join(units, "udi")
-    seen = matched.select("udi").distinct()
-    unmatched = units.join(seen, "udi", "left_anti")
+    unmatched = units.join(reports.select("udi").distinct(), "udi", "left_anti")
     return matched.select(*units.columns, *log_columns).unionByName(
         unmatched, allowMissingColumns=True
     )
@@ -173,11 +172,17 @@ def match_option(spoken, options: Sequence[str]) -> Column:
     and no join. A phrase with nothing left after clean-up matches nothing.
     """
     heard = spoken_form(spoken)
-    choices = F.array(*[F.lit(option) for option in options])
+    # literals only: the comparable forms are folded once, not per row
+    choices = F.array(
+        *[
+            F.struct(F.lit(o).alias("option"), spoken_form(F.lit(o)).alias("form"))
+            for o in options
+        ]
+    )
     fitting = F.filter(
-        choices, lambda o: heard.contains(spoken_form(o)) | spoken_form(o).contains(heard)
+        choices, lambda o: heard.contains(o["form"]) | o["form"].contains(heard)
     )
-    return F.when(heard != "", F.get(fitting, F.lit(0)))
+    return F.when(heard != "", F.get(fitting, F.lit(0))["option"])
 
 
 def extract_report_fields(log: DataFrame, json_text: str, transcript: str) -> DataFrame:

@@ -45,10 +45,8 @@ def stratified_parts(
     )
     hashed = hashed.withColumn("_bucket", F.shiftright("_hash", HASH_BITS - BUCKET_BITS))
 
-    # at most classes x 65536 rows; written, so later joins know its real size
-    sizes = materialize(
-        hashed.groupBy("_y", "_bucket").agg(F.count("*").alias("_n")), "split-sizes"
-    )
+    # at most classes x 65536 rows
+    sizes = hashed.groupBy("_y", "_bucket").agg(F.count("*").alias("_n"))
     of_class = Window.partitionBy("_y")
     upto = F.sum("_n").over(of_class.orderBy("_bucket"))
     sized = sizes.select(
@@ -72,6 +70,7 @@ def stratified_parts(
     edges = sized.filter(holds_cut | empty_part).select(
         "_y", "_cut", "_bucket", (quota - F.col("_before")).alias("_need")
     )
+    # one row per class and cut; written, so the joins below know its real size
     edges = materialize(edges, "split-edges")
 
     position = F.row_number().over(Window.partitionBy("_y", "_cut").orderBy("_hash", "_key"))

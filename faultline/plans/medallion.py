@@ -12,7 +12,7 @@ from faultline.models.features import CATEGORICAL, FULL_NUMERIC, SAFE_NUMERIC, T
 from faultline.models.features import engineered, feature_stages
 from faultline.models.importance import feature_importance
 from faultline.models.score import serving_rows
-from faultline.models.train import forest
+from faultline.models.train import forest, spread
 from faultline.operators import cleaning, quality
 from faultline.operators.curves import auc_fast
 from faultline.operators.metrics import binary_metrics, confusion_cells
@@ -110,7 +110,7 @@ def run(
     gold, _ = build_gold(silver, include_flags, fmt)
 
     train, test, _, test_rows = split_counted(hash_split(gold, "udi", test_fraction, seed))
-    model = PipelineModel([forest(seed=seed, **forest_settings).fit(train)])
+    model = PipelineModel([forest(seed=seed, **forest_settings).fit(spread(train))])
     scored = model.transform(test)
     predictions = write_checked(serving_rows(scored), PREDICTIONS, fmt, "warn", test_rows)
     metrics = binary_metrics(predictions, TARGET, "prediction").first()
