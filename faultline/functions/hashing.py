@@ -1,23 +1,27 @@
-"""Layout-independent pseudo-random numbers derived from a row key.
+"""Layout-independent pseudo-random order derived from a row key.
 
 ``randomSplit`` and ``rand`` depend on how rows fall into partitions; a hash of
-``seed:key`` gives the same answer on any cluster and in any file layout.
+``seed:key`` gives the same answer on any cluster and in any file layout. The
+hash stays the hex text of md5: text of one length compares like the number it
+spells, so no conversion is needed.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-HASH_BITS = 60
+HEX_DIGITS = 32
 
 
 def key_hash(key, seed: int) -> Column:
-    """Uniform integer in [0, 2**60) from a seed and a key column."""
+    """Uniform 32-digit hex text from a seed and a key column."""
     key = F.col(key) if isinstance(key, str) else key
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")).cast("binary"))
-    return F.conv(F.substring(digest, 1, HASH_BITS // 4), 16, 10).cast("bigint")
+    return F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")).cast("binary"))
 
 
-def key_fraction(key, seed: int) -> Column:
-    """Uniform double in [0, 1) from a seed and a key column."""
-    return key_hash(key, seed).cast("double") / F.lit(float(1 << HASH_BITS))
+def hash_below(key, seed: int, fraction: float) -> Column:
+    """True for the given fraction of all keys."""
+    if fraction >= 1.0:
+        return F.lit(True)
+    bound = format(int(fraction * 16**HEX_DIGITS), f"0{HEX_DIGITS}x")
+    return key_hash(key, seed) < F.lit(bound)

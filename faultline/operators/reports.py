@@ -17,6 +17,7 @@ from faultline.functions.text import blank_to_null, shortened
 from faultline.operators.fieldlog import SPACE
 from faultline.operators.metrics import outcome_cells
 from faultline.operators.ranking import last_rows, top_k_ranked
+from faultline.operators.risk import fleet_summary
 from faultline.schemas import REPORT_COLUMNS
 
 # Section headings and the report fields behind them, in order.
@@ -156,20 +157,12 @@ def bounded_lines(head: DataFrame, order: Sequence[str], parts: Sequence[Column]
     return F.concat_ws("\n", lines.scalar()["line"])
 
 
-def shift_summary(
-    scored: DataFrame,
-    log: DataFrame,
-    log_order: Sequence[str],
-    k: int = 10,
-    log_rows: int = 10,
-    threshold: float = DEFAULT_THRESHOLD,
-    key: str = "udi",
-) -> DataFrame:
-    """One handover row: counts, the top k machines and the last log rows."""
+def top_machines_text(scored: DataFrame, k: int, key: str = "udi") -> Column:
+    """The k riskiest machines: label, probability, tier, outcome per line."""
     top = top_k_ranked(
         scored.select(key, "prob_failure", "machine_failure"), "prob_failure", key, k, "_rank"
     )
-    top_text = bounded_lines(
+    return bounded_lines(
         top,
         ["_rank"],
         [
@@ -179,17 +172,29 @@ def shift_summary(
             F.col("machine_failure").cast("string"),
         ],
     )
-    recent = last_rows(log, log_rows, *log_order)
-    recent_text = bounded_lines(
-        recent,
-        log_order,
-        [F.col(c) for c in ("timestamp", "machine_id", "urgency", "transcript")],
-    )
+
+
+def recent_reports_text(log: DataFrame, n: int, log_order: Sequence[str]) -> Column:
+    """The last n log rows in append order, one per line."""
+    shown = [F.col(c) for c in ("timestamp", "machine_id", "urgency", "transcript")]
+    return bounded_lines(last_rows(log, n, *log_order), log_order, shown)
+
+
+def shift_summary(
+    scored: DataFrame,
+    log: DataFrame,
+    log_order: Sequence[str],
+    k: int = 10,
+    log_rows: int = 10,
+    threshold: float = DEFAULT_THRESHOLD,
+    key: str = "udi",
+) -> DataFrame:
+    """One handover row: counts, the top k machines and the last log rows."""
     return scored.agg(
         F.count("*").alias("machines"),
         F.count_if(risk_tier("prob_failure") == "High").alias("high_risk"),
         F.sum(F.col("machine_failure").cast("bigint")).alias("failures"),
-        *[c for c in outcome_cells("machine_failure", "prediction")],
+        *outcome_cells("machine_failure", "prediction"),
     ).select(
         "machines",
         F.lit(float(threshold)).alias("threshold"),
@@ -197,6 +202,24 @@ def shift_summary(
         "failures",
         "tp",
         F.col("fn").alias("missed"),
-        top_text.alias("top_machines"),
-        recent_text.alias("recent_reports"),
+        top_machines_text(scored, k, key).alias("top_machines"),
+        recent_reports_text(log, log_rows, log_order).alias("recent_reports"),
+    )
+
+
+def fleet_brief(
+    scored: DataFrame,
+    log: DataFrame,
+    log_order: Sequence[str],
+    k: int = 5,
+    log_rows: int = 5,
+    threshold: float = DEFAULT_THRESHOLD,
+    key: str = "udi",
+) -> DataFrame:
+    """The fleet summary with the top machines and the last log rows."""
+    return fleet_summary(scored, threshold).withColumns(
+        {
+            "top_machines": top_machines_text(scored, k, key),
+            "recent_reports": recent_reports_text(log, log_rows, log_order),
+        }
     )

@@ -6,17 +6,18 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from faultline.functions.hashing import HASH_BITS, key_fraction, key_hash
+from faultline.functions.hashing import hash_below, key_hash
 from faultline.storage import materialize
 
-BUCKET_BITS = 16
+# hex digits that name a histogram bucket: 65536 buckets
+BUCKET_DIGITS = 4
 
 
 def hash_split(
     df: DataFrame, key: str, test_fraction: float = 0.2, seed: int = 42, out: str = "is_test"
 ) -> DataFrame:
     """Independent assignment per row; row-local, no shuffle."""
-    return df.withColumn(out, key_fraction(key, seed) < F.lit(test_fraction))
+    return df.withColumn(out, hash_below(key, seed, test_fraction))
 
 
 def stratified_parts(
@@ -43,7 +44,7 @@ def stratified_parts(
     hashed = df.select(
         F.col(label).alias("_y"), F.col(key).alias("_key"), key_hash(key, seed).alias("_hash")
     )
-    hashed = hashed.withColumn("_bucket", F.shiftright("_hash", HASH_BITS - BUCKET_BITS))
+    hashed = hashed.withColumn("_bucket", F.substring("_hash", 1, BUCKET_DIGITS))
 
     # at most classes x 65536 rows
     sizes = hashed.groupBy("_y", "_bucket").agg(F.count("*").alias("_n"))
@@ -88,20 +89,31 @@ def stratified_parts(
     before_all = edges.filter("_need = 0").select(
         "_y",
         "_cut",
-        F.lit(-1).cast("bigint").alias("_hash"),
+        F.lit("").alias("_hash"),  # below every hash
         F.lit(None).cast(hashed.schema["_key"].dataType).alias("_key"),
     )
+    numbers = range(len(cumulative))
     cuts = materialize(
         at_cut.unionByName(before_all)
-        .groupBy("_y")
-        .agg(F.collect_list(F.struct("_hash", "_key")).alias("_cuts")),
+        .groupBy(F.col("_y").alias("_cut_y"))
+        .agg(
+            *[F.max(F.when(F.col("_cut") == i, F.col("_hash"))).alias(f"_hash_{i}") for i in numbers],
+            *[F.max(F.when(F.col("_cut") == i, F.col("_key"))).alias(f"_key_{i}") for i in numbers],
+        ),
         "split-cuts",
-    ).withColumnRenamed("_y", "_cut_y")
-    here = F.struct(key_hash(key, seed).alias("_hash"), F.col(key).alias("_key"))
+    )
+
+    def after(i: int):
+        """1 for rows behind cut i of their class."""
+        mine, cut = F.col("_row_hash"), F.col(f"_hash_{i}")
+        behind = (mine > cut) | ((mine == cut) & (F.col(key) > F.col(f"_key_{i}")))
+        return F.when(behind, 1).otherwise(0)
+
     return (
-        df.join(cuts, F.col(label).eqNullSafe(F.col("_cut_y")), "left")
-        .withColumn(out, F.size(F.filter("_cuts", lambda cut: here > cut)))
-        .drop("_cuts", "_cut_y")
+        df.withColumn("_row_hash", key_hash(key, seed))
+        .join(cuts, F.col(label).eqNullSafe(F.col("_cut_y")), "left")
+        .withColumn(out, sum((after(i) for i in numbers), F.lit(0)))
+        .select(*df.columns, out)
     )
 
 

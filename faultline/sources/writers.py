@@ -50,6 +50,30 @@ def read_metadata(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RUN_METADATA).json(path)
 
 
+def report_entries(decision: dict) -> list[dict]:
+    """Class, accuracy and average rows from a flat decision row."""
+    rows = decision["support_0"] + decision["support_1"]
+    names = {"0": "0", "1": "1", "macro avg": "macro", "weighted avg": "weighted"}
+    entries = [
+        {
+            "label": label,
+            "precision": decision[f"precision_{suffix}"],
+            "recall": decision[f"recall_{suffix}"],
+            "f1_score": decision[f"f1_{suffix}"],
+            "support": decision.get(f"support_{suffix}", rows),
+        }
+        for label, suffix in names.items()
+    ]
+    accuracy = {
+        "label": "accuracy",
+        "precision": None,
+        "recall": None,
+        "f1_score": decision["accuracy"],
+        "support": rows,
+    }
+    return [*entries[:2], accuracy, *entries[2:]]
+
+
 def metadata_record(
     metrics: dict,
     decision: dict,
@@ -81,6 +105,7 @@ def metadata_record(
                 [decision["tn"], decision["fp"]],
                 [decision["fn"], decision["tp"]],
             ],
+            "classification_report": report_entries(decision),
         },
         "cutoff_or_threshold": decision["cutoff_score"],
         "precision_at_k": chosen["precision"],

@@ -1,6 +1,6 @@
 """The same views in DuckDB SQL, prepended to an oracle as common tables."""
 
-H60 = "cast(('0x' || substr(md5('{seed}:' || cast({key} as varchar)), 1, 15)) as bigint)"
+KEY_HASH = "md5('{seed}:' || cast({key} as varchar))"
 
 SPACE = "chr(32)||chr(9)||chr(10)||chr(11)||chr(12)||chr(13)"
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from faultline.schemas import URGENCY_LEVELS
 from registry.oracle_views import (
     FIELD_LOG,
-    H60,
+    KEY_HASH,
     LABELLED,
     PERCENT,
     RAW_TEXT,
@@ -126,30 +126,33 @@ add(
     SCORED,
 )
 
+FLEET = f"""fleet as (
+  select 0.45::double as threshold, s.*, {safe('c.correct', 'c.n')} as accuracy, c.p as precision,
+    c.r as recall, {F1} as f1
+  from (select count(*) as machines,
+      count(*) filter (where prob_failure >= 0.45::double) as n_at_risk,
+      cast(sum(machine_failure) as bigint) as failures,
+      round(avg(prob_failure), 10) as mean_probability, max(prob_failure) as max_probability,
+      count(*) filter (where ({TIER_P}) = 'Low') as tier_low,
+      count(*) filter (where ({TIER_P}) = 'Medium') as tier_medium,
+      count(*) filter (where ({TIER_P}) = 'High') as tier_high,
+      count(*) filter (where prediction = 1 and machine_failure = 1) as tp,
+      count(*) filter (where prediction = 1 and machine_failure = 0) as fp,
+      count(*) filter (where prediction = 0 and machine_failure = 1) as fn,
+      count(*) filter (where prediction = 0 and machine_failure = 0) as tn,
+      count(*) filter (where prob_failure >= 0.30::double) as above_30,
+      count(*) filter (where prob_failure >= 0.50::double) as above_50,
+      count(*) filter (where prob_failure >= 0.80::double) as above_80,
+      count(*) filter (where prob_failure >= 0.90::double) as above_90,
+      count(*) filter (where prob_failure >= 0.95::double) as above_95
+    from scored) s, rates c)"""
 add(
     "fleet_summary",
-    f"""select 0.45::double as threshold, s.*, {safe('c.correct', 'c.n')} as accuracy, c.p as precision,
-      c.r as recall, {F1} as f1, format('{{:,}}', s.machines) as machines_text
-    from (select count(*) as machines,
-        count(*) filter (where prob_failure >= 0.45::double) as n_at_risk,
-        cast(sum(machine_failure) as bigint) as failures,
-        round(avg(prob_failure), 10) as mean_probability, max(prob_failure) as max_probability,
-        count(*) filter (where ({TIER_P}) = 'Low') as tier_low,
-        count(*) filter (where ({TIER_P}) = 'Medium') as tier_medium,
-        count(*) filter (where ({TIER_P}) = 'High') as tier_high,
-        count(*) filter (where prediction = 1 and machine_failure = 1) as tp,
-        count(*) filter (where prediction = 1 and machine_failure = 0) as fp,
-        count(*) filter (where prediction = 0 and machine_failure = 1) as fn,
-        count(*) filter (where prediction = 0 and machine_failure = 0) as tn,
-        count(*) filter (where prob_failure >= 0.30::double) as above_30,
-        count(*) filter (where prob_failure >= 0.50::double) as above_50,
-        count(*) filter (where prob_failure >= 0.80::double) as above_80,
-        count(*) filter (where prob_failure >= 0.90::double) as above_90,
-        count(*) filter (where prob_failure >= 0.95::double) as above_95
-      from scored) s, rates c""",
+    "select *, format('{:,}', machines) as machines_text from fleet",
     SCORED,
     CELLS,
     RATES,
+    FLEET,
 )
 
 
@@ -556,10 +559,10 @@ add(
     from scored group by 1""",
     SCORED,
 )
-_H = H60.format(seed=42, key="udi")
+_H = KEY_HASH.format(seed=42, key="udi")
 add(
     "hash_split",
-    f"select udi, {_H}::double / 1152921504606846976.0::double < 0.2::double as is_test from scored",
+    f"select udi, {_H} < '33333333333334000000000000000000' as is_test from scored",
     SCORED,
 )
 ORDERED = f"""ordered as (
@@ -616,21 +619,40 @@ add(
     from reports where machine_id <> ''""",
     REPORTS,
 )
+
+
+def top_text(k: int) -> str:
+    return f"""(select string_agg('M-' || cast(udi as varchar) || ' | ' || {PCT_P} || ' | ' || ({TIER_P}) || ' | '
+        || cast(machine_failure as varchar), chr(10) order by rk) from ranked where rk <= {k}) as top_machines"""
+
+
+def recent_text(n: int) -> str:
+    return f"""(select string_agg(timestamp || ' | ' || machine_id || ' | ' || urgency || ' | ' || transcript, chr(10)
+        order by conv_id, turn) from (select * from field_log order by conv_id desc, turn desc limit {n})) as recent_reports"""
+
+
 add(
     "shift_summary",
     f"""select (select count(*) from scored) as machines, 0.45::double as threshold,
       (select count(*) from scored where ({TIER_P}) = 'High') as high_risk,
       (select cast(sum(machine_failure) as bigint) from scored) as failures, tp, fn as missed,
-      (select string_agg('M-' || cast(udi as varchar) || ' | ' || {PCT_P} || ' | ' || ({TIER_P}) || ' | '
-        || cast(machine_failure as varchar), chr(10) order by rk) from ranked where rk <= 10) as top_machines,
-      (select string_agg(timestamp || ' | ' || machine_id || ' | ' || urgency || ' | ' || transcript, chr(10)
-        order by conv_id, turn) from (select * from field_log order by conv_id desc, turn desc limit 10)) as recent_reports
+      {top_text(10)}, {recent_text(10)}
     from cells""",
     SCORED,
     RANKED,
     CELLS,
     FIELD_LOG,
 )
+add(
+    "fleet_brief",
+    f"select *, {top_text(5)}, {recent_text(5)} from fleet",
+    SCORED,
+    RANKED,
+    CELLS,
+    RATES,
+    FLEET,
+    FIELD_LOG,
+)
 MACHINES = "machines as (select udi, prob_failure, machine_failure from scored)"
 add(
     "machine_reports_exact",

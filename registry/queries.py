@@ -405,6 +405,14 @@ def shift_summary(spark, sf_dir):
     )
 
 
+@query
+def fleet_brief(spark, sf_dir):
+    out = reports.fleet_brief(
+        views.scored(spark, sf_dir), views.field_log(spark, sf_dir), ["conv_id", "turn"]
+    )
+    return rounded(out, "mean_probability")
+
+
 def machines(spark, sf_dir):
     return views.scored(spark, sf_dir).select(KEY, PROB, LABEL)
 

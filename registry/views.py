@@ -114,11 +114,13 @@ def field_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("conv_id") % 4 == 2, F.lit("Low"))
         .otherwise(F.lit("Unknown"))
     )
-    seconds = F.lit(1704067200) + F.col("conv_id") * 60 + F.col("turn")
+    # without a time zone, so the text is the same under any session zone
+    start = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+    moment = F.timestamp_add("SECOND", (F.col("conv_id") * 60 + F.col("turn")).cast("int"), start)
     return table(spark, sf_dir, "conversations").select(
         "conv_id",
         "turn",
-        F.date_format(F.timestamp_seconds(seconds), "yyyy-MM-dd HH:mm:ss").alias("timestamp"),
+        F.date_format(moment, "yyyy-MM-dd HH:mm:ss").alias("timestamp"),
         machine_label(F.col("conv_id") % 50).alias("machine_id"),
         F.col("role").alias("technician"),
         urgency.alias("urgency"),

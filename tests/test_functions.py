@@ -89,6 +89,7 @@ def test_key_hash_ignores_layout(spark):
     ]
     seen = [{r["id"]: r["h"] for r in df.collect()} for df in rows]
     assert seen[0] == seen[1] == seen[2]
-    assert all(0 <= h < 1 << 60 for h in seen[0].values())
-    fractions = values(spark.range(4000), hashing.key_fraction("id", 1))
-    assert 0.47 < sum(f < 0.5 for f in fractions) / 4000 < 0.53
+    assert all(len(h) == 32 for h in seen[0].values())
+    assert 0.47 < sum(values(spark.range(4000), hashing.hash_below("id", 1, 0.5))) / 4000 < 0.53
+    assert not any(values(spark.range(100), hashing.hash_below("id", 1, 0.0)))
+    assert all(values(spark.range(100), hashing.hash_below("id", 1, 1.0)))

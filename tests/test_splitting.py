@@ -11,7 +11,7 @@ def rows(n=4000):
 
 
 def place(i, seed):
-    return (int(hashlib.md5(f"{seed}:{i}".encode()).hexdigest()[:15], 16), i)
+    return (int(hashlib.md5(f"{seed}:{i}".encode()).hexdigest(), 16), i)
 
 
 def brute_parts(data, cumulative, seed):
