@@ -188,7 +188,9 @@ def match_option(spoken, options: Sequence[str]) -> Column:
 def extract_report_fields(log: DataFrame, json_text: str, transcript: str) -> DataFrame:
     """Add the seven report fields; unreadable JSON falls back to the transcript
     as the fault description with every other field blank."""
-    parsed = parsed_report(json_text)
+    # a column of its own, so the text is parsed once and not per field
+    rows = log.withColumn("_parsed", parsed_report(json_text))
+    parsed = F.col("_parsed")
     readable = parsed.isNotNull()
     columns = {}
     for name in EXTRACTED_FIELDS:
@@ -203,5 +205,4 @@ def extract_report_fields(log: DataFrame, json_text: str, transcript: str) -> Da
         iso.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), iso.try_cast("date")
     )
     columns["json_readable"] = readable
-    return log.withColumns(columns)
-
+    return rows.withColumns(columns).drop("_parsed")

@@ -1,3 +1,3 @@
-from faultline.plans import medallion, policy_run
+from faultline.plans import alert_run, fleet_report, medallion, policy_run
 
-__all__ = ["medallion", "policy_run"]
+__all__ = ["alert_run", "fleet_report", "medallion", "policy_run"]

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from faultline.operators.quality import QualityError
-from faultline.plans import medallion, policy_run
+from faultline.plans import alert_run, fleet_report, medallion, policy_run
 from faultline.sources import readers, writers
 from faultline.sources.tables import table_exists
 from registry import views
@@ -102,3 +102,57 @@ def test_probability_columns_of_each_kind(spark):
     assert with_probability(text).first()["prob_failure"] == 0.6
     plain = spark.range(1).withColumn("prob_failure", F.lit(0.3))
     assert with_probability(plain).first()["prob_failure"] == 0.3
+
+
+@pytest.fixture(scope="module")
+def saved_model(spark, sf_dir, tmp_path_factory):
+    from faultline.models import train
+
+    rows = policy_run.prepare(views.labelled(spark, sf_dir))
+    path = str(tmp_path_factory.mktemp("model") / "forest")
+    train.save_model(train.fit_forest(rows, numTrees=5, maxDepth=4), path)
+    return path
+
+
+def test_alert_run(spark, raw_file, saved_model, tmp_path):
+    out, kept = str(tmp_path / "scored"), str(tmp_path / "filtered")
+    done = alert_run.run(
+        spark, raw_file, saved_model, k=30, categories=["error", "view"], export_path=out, filtered_path=kept
+    )
+    summary = done.summary.first()
+    assert (summary["rows"], summary["alerts"]) == (1000, 30)
+    assert done.histogram.agg(F.sum("count")).first()[0] == 1000
+    assert done.preview.count() == 10 and done.categories.count() == 5 and done.ranges.count() == 4
+    written = spark.read.option("header", True).csv(out)
+    assert written.count() == 1000 and written.columns == done.scored.columns
+    shown = spark.read.option("header", True).csv(kept)
+    assert shown.count() == done.filtered.count() <= 30
+    assert {r["type"] for r in shown.collect()} <= {"error", "view"}
+
+
+def test_fleet_report(spark, sf_dir):
+    log = views.field_log(spark, sf_dir)
+    frames = fleet_report.panels(views.scored(spark, sf_dir), log, ("conv_id", "turn"))
+    rows = {name: df.count() for name, df in frames.items()}
+    assert rows["risk_table"] == 1000 and rows["top_alerts"] == 10 and rows["tier_counts"] == 3
+    assert rows["fleet_brief"] == rows["shift_summary"] == rows["metrics"] == 1
+    assert rows["machine_facts"] >= 10 and rows["latest_log"] == 20
+    brief = frames["fleet_brief"].first()
+    assert len(brief["top_machines"].split("\n")) == 5
+
+
+def test_fleet_report_before_the_first_log_entry(spark, sf_dir, tmp_path):
+    log = readers.read_log(spark, str(tmp_path / "none"))
+    frames = fleet_report.panels(views.scored(spark, sf_dir), log)
+    assert frames["fleet_brief"].first()["recent_reports"] == ""
+    assert frames["machine_facts"].count() == 10
+
+
+def test_report_from_the_first_source(spark, sf_dir, tmp_path):
+    from faultline.schemas import predictions_csv_schema
+
+    path = str(tmp_path / "p")
+    scored = views.scored(spark, sf_dir)
+    writers.write_csv(scored.select("udi", "machine_failure", "prediction", "prob_failure"), path)
+    loaded = fleet_report.load(spark, [("missing_table", None), (path, predictions_csv_schema())])
+    assert loaded.count() == 1000
