@@ -67,6 +67,12 @@ def binary_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:
     return counted.select(*CELLS, "rows", *[c.alias(n) for n, c in by_name.items()])
 
 
+def class_text(df: DataFrame, name: str) -> Column:
+    """Class name of a label or prediction column; 1.0 and 1 are one class."""
+    whole = dict(df.dtypes)[name] in ("double", "float")
+    return (F.col(name).cast("bigint") if whole else F.col(name)).cast("string")
+
+
 def classification_report(df: DataFrame, label: str, prediction: str) -> DataFrame:
     """Precision, recall, F1 and support per class, then accuracy, macro and
     weighted average rows. Works for any number of classes.
@@ -74,7 +80,7 @@ def classification_report(df: DataFrame, label: str, prediction: str) -> DataFra
     One scan builds the (label, prediction) counts; all later steps see at
     most classes squared rows.
     """
-    y, p = F.col(label).cast("string"), F.col(prediction).cast("int").cast("string")
+    y, p = class_text(df, label), class_text(df, prediction)
     cells = df.groupBy(y.alias("y"), p.alias("p")).agg(F.count("*").alias("n"))
     hit = F.when(F.col("y") == F.col("p"), F.col("n")).otherwise(F.lit(0))
     per_class = (

@@ -14,7 +14,6 @@ from faultline.operators.cleaning import enforce_types, sanitize_columns
 from faultline.schemas import CLEAN_COLUMNS, raw_text_schema
 from faultline.sources.readers import read_csv
 from faultline.sources.writers import export_scored
-from faultline.storage import materialize
 
 
 @dataclass
@@ -46,10 +45,9 @@ def run(
     export_path: str | None = None,
     filtered_path: str | None = None,
 ) -> AlertRun:
-    """Score a file once; the written result feeds every panel and export."""
-    scored = materialize(
-        score_and_alert(read_raw(spark, path), load_model(model_path), k, key), "alerts"
-    )
+    """Score a file once. The ranked rows are already written (see
+    ``ranking.global_rank``), so each panel and export reads only its columns."""
+    scored = score_and_alert(read_raw(spark, path), load_model(model_path), k, key)
     filtered = alerts.filter_scored(scored, min_score, categories, ranges, alerts_only)
     if export_path:
         export_scored(scored, export_path)

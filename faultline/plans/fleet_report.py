@@ -29,10 +29,15 @@ def panels(
     threshold: float = DEFAULT_THRESHOLD,
     k: int = 10,
     key: str = "udi",
+    written: bool = True,
 ) -> dict[str, DataFrame]:
-    """Name -> frame. The risk table is written once; panels read the columns
-    they need from it."""
-    table = materialize(risk.risk_frame(predictions, threshold), "risk-table")
+    """Name -> frame. The risk table is written once, so a CSV is parsed once
+    and panels read the columns they need. Pass ``written=False`` when the
+    predictions are a columnar table already: the risk columns are row-local.
+    """
+    table = risk.risk_frame(predictions, threshold)
+    if written:
+        table = materialize(table, "risk-table")
     return {
         "risk_table": table,
         "kpis": metrics.kpi_status(table, SCORE, LABEL, PREDICTION, threshold),

@@ -531,8 +531,9 @@ def log_round_trip(spark, sf_dir):
 def table_round_trip(spark, sf_dir):
     place = new_path(spark, "namespace")
     name = "faultline_" + place.rsplit("-", 1)[-1]
+    current = spark.catalog.currentDatabase()
     tables.use_namespace(spark, name, place)
-    spark.sql("USE default")
+    spark.catalog.setCurrentDatabase(current)
     rows = views.sensors(spark, sf_dir)
     return tables.ensure_table(spark, f"{name}.sensors", lambda: rows)
 
@@ -637,8 +638,9 @@ def medallion_predictions(spark, sf_dir):
     path, place = new_path(spark, "raw-csv"), new_path(spark, "medallion")
     writers.write_csv(views.raw_text(spark, sf_dir, damaged=False), path)
     name = "faultline_" + place.rsplit("-", 1)[-1]
+    current = spark.catalog.currentDatabase()
     done = medallion.run(spark, path, name, place, export_path=new_path(spark, "exported"))
-    spark.sql("USE default")
+    spark.catalog.setCurrentDatabase(current)
     return done.predictions.withColumn("prob_failure", vector_element("probability")).drop(
         "probability"
     )

@@ -197,3 +197,13 @@ def test_binary_metrics_without_predictions(spark):
     df = spark.createDataFrame([(1, 0.0), (0, 0.0)], "y int, p double")
     row = metrics.binary_metrics(df, "y", "p").first()
     assert (row["precision"], row["recall"], row["f1"], row["accuracy"]) == (0.0, 0.0, 0.0, 0.5)
+
+
+def test_class_report_of_text_classes(spark):
+    rows = [("L", "L"), ("L", "M"), ("M", "M"), ("H", "L")]
+    df = spark.createDataFrame(rows, "y string, p string")
+    got = {r["label"]: r for r in metrics.classification_report(df, "y", "p").collect()}
+    assert set(got) == {"L", "M", "H", "accuracy", "macro avg", "weighted avg"}
+    assert (got["L"]["precision"], got["L"]["recall"], got["L"]["support"]) == (0.5, 0.5, 2)
+    assert (got["H"]["precision"], got["H"]["recall"]) == (0.0, 0.0)
+    assert got["accuracy"]["f1_score"] == 0.5
