@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, functions as F
 from faultline.functions.numeric import vector_element
 from faultline.models.features import (
     CATEGORICAL,
+    ENGINEERED,
     SAFE_NUMERIC,
+    SENSORS,
     TARGET,
     engineered,
 )
@@ -52,11 +54,16 @@ def score_and_alert(
 
     Scored rows are written before they are ranked: a range sort reads its
     input twice (once to find the ranges) and must not run the model twice.
-    One row is scored by the same path as a table.
+    Without the key column ties go by order of appearance, which the write
+    fixes. One row is scored by the same path as a table.
     """
-    ready = require_columns(engineered(df), [*categorical, *numeric])
+    inputs = [c for c in (*categorical, *numeric) if c not in ENGINEERED]
+    ready = engineered(require_columns(df, dict.fromkeys([*SENSORS, *inputs])))
+    order = key if key in df.columns else "_appearance"
+    if order not in df.columns:
+        ready = ready.withColumn(order, F.monotonically_increasing_id())
     scored = materialize(with_failure_probability(ready, model), "scored")
-    return rank_and_flag(scored, k, key)
+    return rank_and_flag(scored, k, order).drop("_appearance")
 
 
 def inspect_list(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from faultline.functions.numeric import nan_to_null
 from faultline.functions.text import clean_name
@@ -52,6 +52,12 @@ def column_check(df: DataFrame, expected: Iterable[str]) -> DataFrame:
     return df.agg(F.array(*entries).alias("entries")).select(F.inline("entries"))
 
 
+def typed(name: str, kind: str) -> Column:
+    """A column under its type; what is no value of it, or NaN, is null."""
+    value = F.col(name).try_cast(kind)
+    return (nan_to_null(value) if kind == "double" else value).alias(name)
+
+
 def enforce_types(
     df: DataFrame, columns: Sequence[tuple[str, str]] = CLEAN_COLUMNS
 ) -> DataFrame:
@@ -59,11 +65,15 @@ def enforce_types(
 
     NaN becomes null, so later comparisons agree with a missing value.
     """
-    out = []
-    for name, kind in columns:
-        value = F.col(name).try_cast(kind)
-        out.append((nan_to_null(value) if kind == "double" else value).alias(name))
-    return df.select(*out)
+    return df.select(*[typed(name, kind) for name, kind in columns])
+
+
+def enforce_present_types(
+    df: DataFrame, columns: Sequence[tuple[str, str]] = CLEAN_COLUMNS
+) -> DataFrame:
+    """Known columns typed where they occur; every other column as it is."""
+    kinds = dict(columns)
+    return df.select(*[typed(c, kinds[c]) if c in kinds else F.col(c) for c in df.columns])
 
 
 def cast_losses(df: DataFrame, columns: Sequence[tuple[str, str]] = CLEAN_COLUMNS) -> DataFrame:

@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from faultline.models.score import score_and_alert
 from faultline.models.train import load_model
 from faultline.operators import alerts, risk
-from faultline.operators.cleaning import enforce_types, sanitize_columns
-from faultline.schemas import CLEAN_COLUMNS, raw_text_schema
+from faultline.operators.cleaning import enforce_present_types, sanitize_columns
+from faultline.schemas import raw_text_schema
 from faultline.sources.readers import read_csv
 from faultline.sources.writers import export_scored
 
@@ -28,8 +28,9 @@ class AlertRun:
 
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
-    """Raw sensor file under clean names and types."""
-    return enforce_types(sanitize_columns(read_csv(spark, path, raw_text_schema())), CLEAN_COLUMNS)
+    """Raw sensor file under clean names and types. It need not have a label or
+    failure flags, and columns of its own are carried along."""
+    return enforce_present_types(sanitize_columns(read_csv(spark, path, raw_text_schema())))
 
 
 def run(

@@ -6,26 +6,33 @@ from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from faultline.operators.risk import with_probability
 from faultline.schemas import log_schema, predictions_csv_schema, predictions_text_schema
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType, multiline: bool = False) -> DataFrame:
-    """Header CSV read by the executors under an explicit schema. A blank
-    field is a missing value.
+    """Header CSV read by the executors; columns are found by name.
+
+    The header line decides the order, the schema the type of each named
+    column; other columns are text, and an absent one is left to the caller's
+    column check. Every file must carry the same header. A blank field is a
+    missing value.
 
     ``multiline`` allows line breaks inside quotes; such a file cannot be
     split, so it is for logs of free text and not for sensor tables.
     """
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("escape", '"')
-        .option("multiLine", multiline)
-        .csv(path)
-    )
+
+    def reader():
+        return (
+            spark.read.option("header", True).option("escape", '"').option("multiLine", multiline)
+        )
+
+    kinds = {field.name: field.dataType for field in schema}
+    header = reader().csv(path).columns
+    named = StructType([StructField(c, kinds.get(c, StringType())) for c in header])
+    return reader().schema(named).option("enforceSchema", False).csv(path)
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:

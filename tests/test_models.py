@@ -140,8 +140,18 @@ def test_score_and_alert(raw, calibrated):
     ]
     assert out.filter("alert_topk").count() == 50
     assert out.count() == 1500 and out.agg(F.max("rank")).first()[0] == 1500
-    with pytest.raises(ValueError, match="torque_nm|type"):
-        score.score_and_alert(raw.drop("type"), calibrated)
+    with pytest.raises(ValueError, match="torque_nm', 'type"):
+        score.score_and_alert(raw.drop("type", "torque_nm"), calibrated)
+
+
+def test_rows_without_a_key_rank_by_appearance(raw, calibrated):
+    one = raw.orderBy(KEY).coalesce(1)
+    with_key = score.score_and_alert(one, calibrated, 50)
+    without = score.score_and_alert(one.drop(KEY), calibrated, 50)
+    assert without.columns[:2] == ["product_id", "p_failure"]
+    assert "_appearance" not in without.columns
+    pairs = with_key.select("product_id", "rank").exceptAll(without.select("product_id", "rank"))
+    assert pairs.count() == 0
 
 
 def test_one_record_is_scored_like_a_table(spark, raw, calibrated):

@@ -60,13 +60,9 @@ def test_damaged_sensor_values_stop_before_training(spark, sf_dir, tmp_path):
 def test_missing_column_stops_at_bronze(spark, sf_dir, tmp_path):
     path = str(tmp_path / "narrow.csv")
     writers.write_csv(views.raw_text(spark, sf_dir).withColumnRenamed("RNF", "Other"), path)
-    spark.sql("CREATE DATABASE IF NOT EXISTS narrow_db")
-    from faultline.operators.cleaning import require_columns, sanitize_columns
-    from faultline.schemas import CLEAN_COLUMNS
-
-    header = sanitize_columns(spark.read.option("header", True).csv(path))
     with pytest.raises(ValueError, match="rnf"):
-        require_columns(header, [n for n, _ in CLEAN_COLUMNS])
+        medallion.run(spark, path, "narrow_db")
+    spark.sql("USE default")
 
 
 def test_policy_run(spark, sf_dir, tmp_path):
@@ -130,6 +126,20 @@ def test_alert_run(spark, raw_file, saved_model, tmp_path):
     assert {r["type"] for r in shown.collect()} <= {"error", "view"}
 
 
+def test_alert_run_on_unlabelled_file(spark, sf_dir, saved_model, tmp_path):
+    """Columns in another order, one of its own, no label and no flags."""
+    path = str(tmp_path / "upload.csv")
+    raw = views.raw_text(spark, sf_dir, damaged=False)
+    kept = [c for c in reversed(raw.columns) if c not in ("Machine failure", *views.RAW_FLAGS)]
+    writers.write_csv(raw.select(*kept, F.lit("hall 2").alias("Line")), path)
+    done = alert_run.run(spark, path, saved_model, k=5)
+    assert done.scored.columns[:3] == ["udi", "product_id", "p_failure"]
+    assert done.scored.select("line").distinct().first()[0] == "hall 2"
+    assert done.scored.count() == 1000 and done.filtered.count() == 5
+    types = dict(done.scored.dtypes)
+    assert (types["udi"], types["torque_nm"], types["line"]) == ("int", "double", "string")
+
+
 def test_fleet_report(spark, sf_dir):
     log = views.field_log(spark, sf_dir)
     frames = fleet_report.panels(views.scored(spark, sf_dir), log, ("conv_id", "turn"))

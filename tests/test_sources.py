@@ -21,6 +21,25 @@ def test_csv_keeps_awkward_text(spark, tmp_path):
     assert row["transcript"] == text and row["technician"] == "Unknown"
 
 
+def test_columns_are_found_by_name(spark, tmp_path):
+    path = str(tmp_path / "p")
+    swapped = spark.createDataFrame(
+        [(0.25, 1.0, 7, 1, "x")],
+        "prob_failure double, prediction double, udi int, machine_failure int, site string",
+    )
+    writers.write_csv(swapped, path)
+    row = readers.read_csv(spark, path, predictions_csv_schema()).first()
+    assert (row["udi"], row["machine_failure"], row["prob_failure"], row["site"]) == (7, 1, 0.25, "x")
+
+
+def test_files_with_different_headers_are_refused(spark, tmp_path):
+    path = str(tmp_path / "p")
+    writers.write_csv(spark.createDataFrame([(1, 2)], "a int, b int"), path)
+    writers.write_csv(spark.createDataFrame([(1, 2)], "b int, a int"), path, mode="append")
+    with pytest.raises(Exception, match="header"):
+        readers.read_csv(spark, path, predictions_csv_schema()).collect()
+
+
 def test_log_before_first_write(spark, tmp_path):
     log = readers.read_log(spark, str(tmp_path / "none"))
     assert log.columns == LOG_COLUMNS and log.count() == 0
