@@ -55,25 +55,18 @@ def positions(df: DataFrame, by: str, order: Sequence) -> DataFrame:
     )
 
 
-def permutation_importance(
-    df: DataFrame,
-    model: PipelineModel,
-    columns: Sequence[str] = (*CATEGORICAL, *SAFE_NUMERIC),
-    label: str = TARGET,
-    key: str = "udi",
-    repeats: int = 8,
-    seed: int = 42,
-    score: str = "p_failure",
+def shuffled_variants(
+    inputs: DataFrame, columns: Sequence[str], label: str, key: str, repeats: int, seed: int
 ) -> DataFrame:
-    """Mean drop in average precision when one input column is shuffled.
+    """Every row once per (shuffled column, repeat), that column's value taken
+    from another row.
 
-    A shuffle pairs the row at place i in key order with the row at place i in
-    the order of ``hash(seed : repeat : key)``. One sort places the rows, one
-    sort places the rows of all repeats, one join on the place pairs them, and
-    all (column, repeat) variants are scored and measured in one pass.
+    The row at place i in key order takes the value of the row at place i in
+    the order of ``hash(seed : repeat : key)``: a permutation of the column.
+    One sort places the rows, one sort places the rows of all repeats, one join
+    on the place pairs them.
     """
     columns = list(columns)
-    inputs = materialize(df.select(key, label, *columns), "importance-input")
     base = positions(inputs.withColumn("_repeat", F.lit(0)), "_repeat", [F.asc(key)])
     copies = inputs.drop(label).withColumn(
         "_repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1)))
@@ -85,7 +78,7 @@ def permutation_importance(
     paired = base.drop("_repeat").join(donors, "_place").withColumn(
         "_shuffled", F.explode(F.array(*[F.lit(c) for c in columns]))
     )
-    variants = paired.select(
+    return paired.select(
         "_shuffled",
         "_repeat",
         label,
@@ -94,6 +87,25 @@ def permutation_importance(
             for c in columns
         ],
     )
+
+
+def permutation_importance(
+    df: DataFrame,
+    model: PipelineModel,
+    columns: Sequence[str] = (*CATEGORICAL, *SAFE_NUMERIC),
+    label: str = TARGET,
+    key: str = "udi",
+    repeats: int = 8,
+    seed: int = 42,
+    score: str = "p_failure",
+) -> DataFrame:
+    """Mean drop in average precision when one input column is shuffled.
+
+    All (column, repeat) variants are scored and measured in one pass.
+    """
+    columns = list(columns)
+    inputs = materialize(df.select(key, label, *columns), "importance-input")
+    variants = shuffled_variants(inputs, columns, label, key, repeats, seed)
     baseline = inputs.select(
         F.lit("").alias("_shuffled"), F.lit(0).alias("_repeat"), label, *columns
     )
@@ -103,12 +115,10 @@ def permutation_importance(
     # columns x repeats + 1 rows from here on
     areas = materialize(areas, "importance-areas")
     whole = areas.filter("_shuffled = ''").agg(F.max("average_precision")).scalar()
+    drop = whole - F.col("average_precision")
     return (
         areas.filter("_shuffled <> ''")
         .groupBy(F.col("_shuffled").alias("feature"))
-        .agg(
-            F.avg(whole - F.col("average_precision")).alias("importance_mean"),
-            F.stddev_pop(whole - F.col("average_precision")).alias("importance_std"),
-        )
+        .agg(F.avg(drop).alias("importance_mean"), F.stddev_pop(drop).alias("importance_std"))
         .orderBy(F.desc("importance_mean"), "feature")
     )

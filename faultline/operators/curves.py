@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from faultline.functions.numeric import nan_to_null, ratio
 from faultline.operators.ranking import SLICE, laid_out
+from faultline.storage import materialize
 
 
 def cumulative_counts(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> DataFrame:
@@ -48,8 +49,9 @@ def cumulative_counts(df: DataFrame, score: str, label: str, by: Sequence[str] =
         .orderBy(F.desc_nulls_last("score"))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
+    # no broadcast hint: the window needs this partitioning of the rows anyway
     return (
-        laid.join(F.broadcast(offsets), [*by, SLICE])
+        laid.join(offsets, [*by, SLICE])
         .withColumns(
             {
                 "tp": F.sum("pos").over(inside) + F.col("_pos_before"),
@@ -121,6 +123,7 @@ def best_f1_threshold(
     curve = f1_curve(df, score, label)
     if not reference_offset:
         return curve.orderBy(F.desc("f1"), F.asc("threshold")).limit(1)
+    curve = materialize(curve, "f1-curve")  # read three times below
     lowest = curve.agg(F.min("threshold")).scalar()
     best = (
         curve.filter(F.col("threshold") > lowest)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from faultline.functions.numeric import nan_to_null, ratio
 
@@ -35,12 +35,12 @@ def null_profile(df: DataFrame, top: int = 15) -> DataFrame:
 
 
 def label_distribution(df: DataFrame, label: str) -> DataFrame:
-    """Rows and share of each class; the window sees one row per class."""
-    counted = df.filter(F.col(label).isNotNull()).groupBy(label).agg(F.count("*").alias("count"))
-    everything = Window.partitionBy()
-    return counted.withColumn(
-        "share", ratio(F.col("count"), F.sum("count").over(everything))
-    )
+    """Rows and share of each class. The total is a scalar, so the number of
+    classes does not matter."""
+    known = df.filter(F.col(label).isNotNull()).select(label)
+    total = known.agg(F.count("*")).scalar()
+    counted = known.groupBy(label).agg(F.count("*").alias("count"))
+    return counted.withColumn("share", ratio(F.col("count"), total))
 
 
 def prevalence(df: DataFrame, label: str) -> DataFrame:

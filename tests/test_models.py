@@ -186,3 +186,24 @@ def test_permutation_importance(parts, calibrated):
     assert len(drops) == 8
     assert max(drops, key=drops.get) in ("torque_nm", "Torque_x_RPM")
     assert abs(drops["type"]) < 0.05 and max(drops.values()) > 0.1
+
+
+def test_shuffles_are_permutations(spark):
+    rows = [(i, i % 2, f"t{i}", float(i)) for i in range(300)]
+    df = spark.createDataFrame(rows, "udi long, y int, a string, b double")
+    out = importance.shuffled_variants(df, ["a", "b"], "y", "udi", 3, 9).collect()
+    orders = set()
+    for column, other in (("a", "b"), ("b", "a")):
+        for repeat in range(3):
+            part = [r for r in out if r["_shuffled"] == column and r["_repeat"] == repeat]
+            assert len(part) == 300
+            assert sorted(r["a"] for r in part) == sorted(r[2] for r in rows)
+            assert sorted(r["b"] for r in part) == [r[3] for r in rows]
+            # the other column still belongs to its label
+            own = [int(r["b"]) if other == "b" else int(r["a"][1:]) for r in part]
+            assert all(r["y"] == i % 2 for r, i in zip(part, own))
+            moved = {i: (r["a"] if column == "a" else r["b"]) for r, i in zip(part, own)}
+            assert sum(str(v).strip("t").removesuffix(".0") != str(i) for i, v in moved.items()) > 250
+            orders.add(tuple(str(moved[i]).strip("t").removesuffix(".0") for i in range(300)))
+    # both columns share the order of a repeat, repeats differ
+    assert len(orders) == 3

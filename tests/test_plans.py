@@ -166,3 +166,19 @@ def test_report_from_the_first_source(spark, sf_dir, tmp_path):
     writers.write_csv(scored.select("udi", "machine_failure", "prediction", "prob_failure"), path)
     loaded = fleet_report.load(spark, [("missing_table", None), (path, predictions_csv_schema())])
     assert loaded.count() == 1000
+
+
+def test_row_local_operators_take_a_stream(spark, sf_dir, tmp_path):
+    from faultline.operators import alerts, risk
+
+    path = str(tmp_path / "in")
+    views.scored(spark, sf_dir).write.parquet(path)
+    rows = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    kept = alerts.filter_scored(risk.risk_frame(rows), min_score=0.45, score="prob_failure")
+    query = kept.writeStream.format("memory").queryName("at_risk_stream").start()
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    expected = views.scored(spark, sf_dir).filter("prob_failure >= 0.45").count()
+    assert spark.table("at_risk_stream").filter("at_risk").count() == expected
