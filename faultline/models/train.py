@@ -97,9 +97,7 @@ def fit_logistic(
         labelCol=label, featuresCol="features", weightCol="class_weight", **settings
     )
     stages = feature_stages(categorical, numeric, scaled=True)
-    return Pipeline(stages=[*stages, learner]).fit(
-        spread(with_class_weights(train, label))
-    )
+    return Pipeline(stages=[*stages, learner]).fit(with_class_weights(spread(train), label))
 
 
 def save_model(model: PipelineModel, path: str) -> None:

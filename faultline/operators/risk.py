@@ -7,7 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from faultline.functions import risk as fr
-from faultline.functions.numeric import column, nan_to_null, percent_text, ratio
+from faultline.functions.numeric import (
+    column,
+    last_of_vector_text,
+    nan_to_null,
+    percent_text,
+    ratio,
+    vector_element,
+)
 from faultline.operators.metrics import outcome_cells, rates
 from faultline.operators.ranking import top_k_ranked
 
@@ -19,8 +26,6 @@ def with_probability(df: DataFrame) -> DataFrame:
     """Derive ``prob_failure`` from a vector or its text when it is absent."""
     if "prob_failure" in df.columns or "probability" not in df.columns:
         return df
-    from faultline.functions.numeric import last_of_vector_text, vector_element
-
     if dict(df.dtypes)["probability"] == "string":
         return df.withColumn("prob_failure", last_of_vector_text("probability"))
     return df.withColumn("prob_failure", vector_element("probability"))

@@ -70,11 +70,12 @@ def ensure_table(
 ) -> DataFrame:
     """Keep a table that has the expected rows; else drop it and build it.
 
-    Without an expectation an existing table is kept. A rebuilt table with
-    another number of rows is an error.
+    Without an expectation nothing shows that the stored rows are the right
+    ones, so the table is rebuilt. A rebuilt table with another number of rows
+    than expected is an error.
     """
     if table_exists(spark, name):
-        if expected_rows is None or spark.table(name).count() == expected_rows:
+        if expected_rows is not None and spark.table(name).count() == expected_rows:
             return spark.table(name)
         drop_table(spark, name)
     return write_checked(build(), name, fmt, expected_rows=expected_rows)

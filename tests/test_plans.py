@@ -140,6 +140,15 @@ def test_alert_run_on_unlabelled_file(spark, sf_dir, saved_model, tmp_path):
     assert (types["udi"], types["torque_nm"], types["line"]) == ("int", "double", "string")
 
 
+def test_rows_with_missing_sensors_are_still_scored(spark, sf_dir, saved_model, tmp_path):
+    path = str(tmp_path / "damaged.csv")
+    writers.write_csv(views.raw_text(spark, sf_dir), path)
+    done = alert_run.run(spark, path, saved_model, k=5)
+    summary = done.summary.first()
+    assert (summary["rows"], summary["missing_scores"], summary["alerts"]) == (1000, 0, 5)
+    assert done.scored.filter("torque_nm is null").count() > 0
+
+
 def test_fleet_report(spark, sf_dir):
     log = views.field_log(spark, sf_dir)
     frames = fleet_report.panels(views.scored(spark, sf_dir), log, ("conv_id", "turn"))

@@ -114,6 +114,7 @@ def test_ensure_table(spark):
     tables.ensure_table(spark, "t", build(5), 5)
     assert calls == [5]
     assert tables.ensure_table(spark, "t", build(7), 7).count() == 7
+    assert tables.ensure_table(spark, "t", build(6)).count() == 6
     with pytest.raises(RuntimeError, match="sent 9 rows, stored 8"):
         tables.ensure_table(spark, "t", build(8), 9)
     assert tables.table_exists(spark, "t")
