@@ -14,9 +14,13 @@ HEX_DIGITS = 32
 
 
 def key_hash(key, seed: int) -> Column:
-    """Uniform 32-digit hex text from a seed and a key column."""
+    """Uniform 32-digit hex text from a seed and a key column.
+
+    A missing key hashes like an empty text, so every row has a hash.
+    """
     key = F.col(key) if isinstance(key, str) else key
-    return F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")).cast("binary"))
+    text = F.coalesce(key.cast("string"), F.lit(""))
+    return F.md5(F.concat(F.lit(f"{seed}:"), text).cast("binary"))
 
 
 def hash_below(key, seed: int, fraction: float) -> Column:

@@ -43,7 +43,11 @@ def laid_out(df: DataFrame, order: Sequence[Column], label: str) -> DataFrame:
 
 
 def global_rank(df: DataFrame, score: str, key: str, out: str = "rank") -> DataFrame:
-    """Add the 1-based rank by descending score, ties in key order."""
+    """Add the 1-based rank by descending score, ties in key order.
+
+    ``key`` should be unique: rows that share score and key all get a rank,
+    but in no fixed order and in one sort partition.
+    """
     rows = laid_out(df, score_order(score, key), "rank")
     # one row per sort partition, so this window and this broadcast are tiny
     earlier = Window.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)

@@ -36,6 +36,7 @@ def stratified_parts(
     bucket holding each cut, and the rows of those buckets alone (about
     n_class / 65536 each, the hash being uniform) are ordered. The data is
     scanned three times and never shuffled, however unequal the classes are.
+    Rows that share a key always share a part.
     """
     cumulative, total = [], 0.0
     for fraction in fractions:
@@ -74,16 +75,18 @@ def stratified_parts(
     # one row per class and cut; written, so the joins below know its real size
     edges = materialize(edges, "split-edges")
 
-    position = F.row_number().over(Window.partitionBy("_y", "_cut").orderBy("_hash", "_key"))
+    reached = F.sum("_n").over(Window.partitionBy("_y", "_cut").orderBy("_hash", "_key"))
     at_cut = (
         hashed.alias("h")
         .join(
             edges.filter("_need > 0").alias("e"),
             F.col("h._y").eqNullSafe(F.col("e._y")) & (F.col("h._bucket") == F.col("e._bucket")),
         )
-        .select("e._y", "e._cut", "e._need", "h._hash", "h._key")
-        .withColumn("_position", position)
-        .filter("_position = _need")
+        # rows of a repeated key cannot be told apart: counted before they are ordered
+        .groupBy("e._y", "e._cut", "e._need", "h._hash", "h._key")
+        .agg(F.count("*").alias("_n"))
+        .withColumn("_reached", reached)
+        .filter("_reached >= _need and _reached - _n < _need")
         .select("_y", "_cut", "_hash", "_key")
     )
     before_all = edges.filter("_need = 0").select(

@@ -49,6 +49,25 @@ def test_tiny_and_missing_classes(spark):
     assert len(split) == 8 and test == [None]
 
 
+def test_repeated_key_stays_together(spark):
+    """One key owns half of all rows; its rows share a part, nothing is lost."""
+    data = [(7 if i % 2 else i, 0) for i in range(2000)]
+    df = spark.createDataFrame(data, "udi long, y int")
+    for seed in range(4):
+        rows = splitting.stratified_split(df, "y", "udi", 0.2, seed).collect()
+        parts = {r["is_test"] for r in rows if r["udi"] == 7}
+        assert len(rows) == 2000 and len(parts) == 1
+        order = sorted({u for u, _ in data}, key=lambda u: place(u, seed))
+        sizes = {u: 1000 if u == 7 else 1 for u in order}
+        taken, test = 0, set()
+        for u in order:
+            if taken >= 400:
+                break
+            taken += sizes[u]
+            test.add(u)
+        assert {r["udi"] for r in rows if r["is_test"]} == test
+
+
 def test_text_keys(spark):
     df = spark.createDataFrame([(f"k{i}", i % 2) for i in range(200)], "udi string, y int")
     split = splitting.stratified_split(df, "y", "udi", 0.25)
