@@ -42,17 +42,14 @@ def strip_code_fence(value) -> Column:
     return F.btrim(F.replace(out, F.lit("```"), F.lit("")), F.lit(" \t\r\n\f\v"))
 
 
-def parsed_report(json_text) -> Column:
-    """Struct of the seven report fields; null when the text is no JSON object.
+def report_struct(json_text) -> Column:
+    """The seven report fields of a JSON object and ``_corrupt_record``.
 
     Every field is read as text, so a number in quotes is no parse error.
-    Malformed text yields a struct of nulls rather than a null struct, so the
-    corrupt-record field decides.
     """
-    fenceless = strip_code_fence(json_text)
     fields = ", ".join(f"{name} string" for name in EXTRACTED_FIELDS)
-    parsed = F.from_json(
-        fenceless,
+    return F.from_json(
+        column(json_text),
         f"{fields}, _corrupt_record string",
         {
             "mode": "PERMISSIVE",
@@ -60,10 +57,17 @@ def parsed_report(json_text) -> Column:
             "allowSingleQuotes": "false",
         },
     )
-    usable = (
-        fenceless.startswith("{") & fenceless.endswith("}") & parsed["_corrupt_record"].isNull()
-    )
-    return F.when(usable, parsed)
+
+
+def is_report_object(json_text, parsed) -> Column:
+    """True when ``parsed`` came from one JSON object.
+
+    Malformed text yields a struct of nulls rather than a null struct, so the
+    corrupt-record field decides.
+    """
+    json_text, parsed = column(json_text), column(parsed)
+    whole = json_text.startswith("{") & json_text.endswith("}")
+    return F.coalesce(whole & parsed["_corrupt_record"].isNull(), F.lit(False))
 
 
 def shortened(value, limit: int = 300) -> Column:

@@ -8,7 +8,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from faultline.functions.numeric import column, percent_text
 from faultline.functions.risk import machine_label, machine_number, outcome_text, risk_tier
-from faultline.functions.text import parsed_report, spoken_form
+from faultline.functions.text import (
+    is_report_object,
+    report_struct,
+    spoken_form,
+    strip_code_fence,
+)
 from faultline.operators.ranking import last_rows, top_k_ranked
 from faultline.schemas import EXTRACTED_FIELDS, LOG_COLUMNS
 
@@ -165,44 +170,51 @@ def machine_facts(
     return machine_reports(facts, log, log_columns, mode)
 
 
-def match_option(spoken, options: Sequence[str]) -> Column:
-    """First option that contains, or is contained in, the spoken phrase.
+def match_option(
+    df: DataFrame, spoken: str | Column, options: Sequence[str], out: str = "choice"
+) -> DataFrame:
+    """Add the first option that contains, or is contained in, the spoken phrase.
 
-    The options are a short literal list, so this is a row-local expression
-    and no join. A phrase with nothing left after clean-up matches nothing.
+    The options are a short literal list, so this is row-local and no join. A
+    phrase with nothing left after clean-up matches nothing.
     """
-    heard = spoken_form(spoken)
-    # literals only: the comparable forms are folded once, not per row
+    # a column of its own, so the phrase is cleaned once and not per option
+    rows = df.withColumn("_heard", spoken_form(spoken))
+    heard = F.col("_heard")
+    # literals only: their comparable forms are folded before the job starts
     choices = F.array(
         *[
             F.struct(F.lit(o).alias("option"), spoken_form(F.lit(o)).alias("form"))
             for o in options
         ]
     )
-    fitting = F.filter(
-        choices, lambda o: heard.contains(o["form"]) | o["form"].contains(heard)
-    )
-    return F.when(heard != "", F.get(fitting, F.lit(0))["option"])
+    fitting = F.filter(choices, lambda o: heard.contains(o["form"]) | o["form"].contains(heard))
+    choice = F.when(heard != "", F.get(fitting, F.lit(0))["option"])
+    return rows.withColumn(out, choice).drop("_heard")
 
 
 def extract_report_fields(log: DataFrame, json_text: str, transcript: str) -> DataFrame:
     """Add the seven report fields; unreadable JSON falls back to the transcript
     as the fault description with every other field blank."""
-    # a column of its own, so the text is parsed once and not per field
-    rows = log.withColumn("_parsed", parsed_report(json_text))
-    parsed = F.col("_parsed")
-    readable = parsed.isNotNull()
+    # columns of their own, so the text is cleaned and parsed once and not per field
+    rows = log.withColumn("_json", strip_code_fence(json_text)).withColumn(
+        "_parsed", report_struct("_json")
+    )
+    readable = is_report_object("_json", "_parsed")
     columns = {}
     for name in EXTRACTED_FIELDS:
-        value = F.coalesce(parsed[name], F.lit(""))
+        value = F.when(readable, F.col("_parsed")[name])
         if name == "fault_description":
-            value = F.when(readable, value).otherwise(F.col(transcript))
-        if name == "downtime_hours":
-            value = F.coalesce(parsed[name].try_cast("double"), F.lit(0.0))
-        columns[name] = value
-    iso = parsed["next_maintenance_date"]
+            columns[name] = F.when(readable, F.coalesce(value, F.lit(""))).otherwise(
+                F.col(transcript)
+            )
+        elif name == "downtime_hours":
+            columns[name] = F.coalesce(value.try_cast("double"), F.lit(0.0))
+        else:
+            columns[name] = F.coalesce(value, F.lit(""))
+    date_text = F.when(readable, F.col("_parsed")["next_maintenance_date"])
     columns["next_date"] = F.when(
-        iso.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), iso.try_cast("date")
+        date_text.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), date_text.try_cast("date")
     )
     columns["json_readable"] = readable
-    return rows.withColumns(columns).drop("_parsed")
+    return rows.withColumns(columns).drop("_json", "_parsed")

@@ -483,7 +483,7 @@ def option_match(spark, sf_dir):
         .when(F.col("turn") % 3 == 1, F.col("urgency"))
         .otherwise(F.col("transcript"))
     )
-    return log.select("conv_id", "turn", fieldlog.match_option(spoken, OPTIONS).alias("choice"))
+    return fieldlog.match_option(log, spoken, OPTIONS).select("conv_id", "turn", "choice")
 
 
 @query

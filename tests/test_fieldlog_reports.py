@@ -99,7 +99,7 @@ def test_option_match(spark):
     said = ["high", "the UDI m 12", "medium", "", "-m-", "zzz", None]
     df = spark.createDataFrame([(s,) for s in said], "t string").coalesce(1)
     options = ["M-1", "M-12", *URGENCY_LEVELS]
-    got = [r[0] for r in df.select(fieldlog.match_option("t", options)).collect()]
+    got = [r["choice"] for r in fieldlog.match_option(df, "t", options).collect()]
     # 'the  12' contains '1', so the first machine wins; blank phrases match nothing
     assert got == [URGENCY_LEVELS[0], "M-1", URGENCY_LEVELS[1], None, None, None, None]
 
