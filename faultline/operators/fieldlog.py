@@ -181,15 +181,11 @@ def match_option(
     # a column of its own, so the phrase is cleaned once and not per option
     rows = df.withColumn("_heard", spoken_form(spoken))
     heard = F.col("_heard")
-    # literals only: their comparable forms are folded before the job starts
-    choices = F.array(
-        *[
-            F.struct(F.lit(o).alias("option"), spoken_form(F.lit(o)).alias("form"))
-            for o in options
-        ]
-    )
-    fitting = F.filter(choices, lambda o: heard.contains(o["form"]) | o["form"].contains(heard))
-    choice = F.when(heard != "", F.get(fitting, F.lit(0))["option"])
+    tests = []
+    for option in options:
+        form = spoken_form(F.lit(option))  # literal, folded before the job starts
+        tests.append(F.when(heard.contains(form) | form.contains(heard), F.lit(option)))
+    choice = F.when(heard != "", F.coalesce(*tests))
     return rows.withColumn(out, choice).drop("_heard")
 
 
