@@ -39,9 +39,11 @@ BLOCK_IDS = 1 << 20
 ROUNDS = 6
 RULES_PER_ROUND = 1024
 LEAST_COUNT = 32
-#: Words whose ids a task remembers.
-CACHE_WORDS = 400_000
-SLOTS = 1 << 18
+#: Words whose ids a Python worker remembers from task to task.
+CACHE_WORDS = 700_000
+#: Documents whose new words are encoded together.
+TOGETHER = 256
+SLOT_BITS = 18
 
 BLOCKS = (
     "shard int, block int, n_docs int, n_tokens long, tokens_before long, "
@@ -65,26 +67,34 @@ def compress(
     base = int(symbols.max()) + 1 if len(symbols) else 0
     rules: list[np.ndarray] = []
     made = 0
-    for _ in range(rounds):
+    for turn in range(rounds):
         if len(symbols) < 2 * LEAST_COUNT:
             break
         left, right = symbols[:-1], symbols[1:]
-        slot = ((left * np.uint32(2654435761)) ^ (right * np.uint32(2246822519))) >> np.uint32(14)
-        counts = np.bincount(slot, minlength=SLOTS)
-        counts[counts < LEAST_COUNT] = 0
-        likely = min(4 * RULES_PER_ROUND, np.count_nonzero(counts))
+        # pairs are counted by slot; in each slot one pair stands for it, and
+        # pairs that share its slot have their chance under the next round's hash
+        slot = (left * np.uint32(2654435761 + 2 * turn)) ^ (right * np.uint32(2246822519))
+        slot >>= np.uint32(32 - SLOT_BITS)
+        counts = np.bincount(slot, minlength=1 << SLOT_BITS)
+        likely = min(2 * RULES_PER_ROUND, np.count_nonzero(counts >= LEAST_COUNT))
         if not likely:
             break
-        hot = np.zeros(SLOTS, bool)
+        hot = np.zeros(1 << SLOT_BITS, bool)
         hot[np.argpartition(counts, -likely)[-likely:]] = True
-        at = np.flatnonzero(hot[slot] & (left != end_id))
+        at = np.flatnonzero(hot[slot])
+        at = at[left[at] != end_id]
+        place = slot[at]
         keys = (left[at].astype(np.uint64) << np.uint64(32)) | right[at]
-        pairs, place, n = np.unique(keys, return_inverse=True, return_counts=True)
-        order = np.argsort(-n, kind="stable")[:RULES_PER_ROUND]
-        order = order[n[order] >= LEAST_COUNT]
+        pair_of = np.zeros(1 << SLOT_BITS, np.uint64)
+        pair_of[place] = keys
+        same = pair_of[place] == keys
+        at, place = at[same], place[same]
+        n = np.bincount(place, minlength=1 << SLOT_BITS)
+        order = np.flatnonzero(n >= LEAST_COUNT)
+        order = order[np.argsort(-n[order], kind="stable")][:RULES_PER_ROUND]
         if not len(order):
             break
-        number = np.full(len(pairs), -1, np.int64)
+        number = np.full(1 << SLOT_BITS, -1, np.int64)
         number[order] = np.arange(len(order))
         rule = number[place]
         at, rule = at[rule >= 0], rule[rule >= 0]
@@ -98,7 +108,7 @@ def compress(
         keep = np.ones(len(symbols), bool)
         keep[at + 1] = False
         symbols = symbols[keep]
-        chosen = pairs[order]
+        chosen = pair_of[order]
         rules.append(
             np.stack([chosen >> np.uint64(32), chosen & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32)
         )
@@ -194,30 +204,44 @@ class WordIds(dict):
     the tokenizer, and case is folded, so those share their entry.
     """
 
-    def __init__(self, encode: Callable[[str], list[int]], limit: int = CACHE_WORDS):
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], limit: int = CACHE_WORDS):
         super().__init__()
         self.encode, self.limit = encode, limit
 
-    def __missing__(self, chunk: bytes) -> bytes:
+    @staticmethod
+    def parts(chunk: bytes) -> tuple[str, ...]:
+        """The pieces that the tokenizer is asked for."""
         text = chunk.decode()
-        folded = text.lower() if max(text) < "Ā" else text
-        if folded[-1] in ".,!?" and folded[:-1].isalpha() and max(folded) < "Ā":
-            ids = self[folded[:-1].encode()] + self[folded[-1].encode()]
-        elif folded != text:
-            ids = self[folded.encode()]
-        else:
-            ids = np.array(self.encode(text), "<u4").tobytes()
-        if len(self) >= self.limit:
+        if max(text) < "Ā":
+            text = text.lower()
+            if text[-1] in ".,!?" and text[:-1].isalpha():
+                return text[:-1], text[-1]
+        return (text,)
+
+    def learn(self, chunks: set[bytes]) -> None:
+        """Make sure that all ``chunks`` are known."""
+        if len(self) > self.limit:
             self.clear()
-        self[chunk] = ids
-        return ids
+        new = chunks.difference(self)
+        pieces = {c: self.parts(c) for c in new}
+        asked = {x for p in pieces.values() for x in p if x.encode() not in self}
+        words = sorted(asked)
+        for word, ids in zip(words, self.encode(words), strict=True):
+            self[word.encode()] = np.array(ids, "<u4").tobytes()
+        for chunk, p in pieces.items():
+            if chunk not in self:
+                self[chunk] = b"".join([self[x.encode()] for x in p])
 
 
-def encoder(tokenizer_file: str) -> Callable[[str], list[int]]:
+def encoder(tokenizer_file: str) -> Callable[[list[str]], list[list[int]]]:
+    import os
+
     from tokenizers import Tokenizer
 
+    # tasks share the machine's cores already
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     tokenizer = Tokenizer.from_file(tokenizer_file)
-    return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
+    return lambda words: [e.ids for e in tokenizer.encode_batch(words, add_special_tokens=False)]
 
 
 def blocks_of(
@@ -246,9 +270,11 @@ def blocks_of(
         docs.clear(), sizes.clear(), held.clear()
         return pd.DataFrame([row])
 
-    for part in parts:
-        for shard, doc, text in zip(part["shard"], part["doc_id"], part["text"], strict=True):
-            ids = b"".join(map(ids_of_word.__getitem__, (text or "").encode().split())) + end
+    for part in (x.iloc[i : i + TOGETHER] for x in parts for i in range(0, len(x), TOGETHER)):
+        chunks = [(text or "").encode().split() for text in part["text"]]
+        ids_of_word.learn(set().union(*chunks))
+        for shard, doc, words in zip(part["shard"], part["doc_id"], chunks, strict=True):
+            ids = b"".join(map(ids_of_word.__getitem__, words)) + end
             docs.append(None if doc is None or doc != doc else int(doc))
             sizes.append(len(ids) // 4)
             held.append(ids)
@@ -281,11 +307,15 @@ def write_token_files(
         .repartitionByRange(partitions(spark), "doc_id")
         .sortWithinPartitions("doc_id", "text")
         .withColumn("shard", F.spark_partition_id())
-        .withColumn("doc_id", F.col("doc_id"))
     )
 
+    # a worker's own copy of the broadcast keeps its word table between tasks
+    kept = spark.sparkContext.broadcast({})
+
     def encode(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = WordIds(encoder(tokenizer_file))
+        if "words" not in kept.value:
+            kept.value["words"] = WordIds(encoder(tokenizer_file))
+        words = kept.value["words"]
         return blocks_of(
             (x.astype({"doc_id": object}) for x in parts), words, end_id, block_ids, rounds
         )
