@@ -9,11 +9,12 @@ verified exactly, on the full sets of the texts.
 
 Links are sought in two passes, so that no bucket is spelled out in pairs:
 
-1. In each bucket every class is compared with the bucket's first class.
-   Links found are merged into components.
-2. Pairs that share a bucket but no component yet are compared. A pair in one
-   component needs no link of its own, and in a bucket of copies there are no
-   others.
+1. Each bucket has a hub: the member that shares most bucket places with
+   others, which in a group of copies is their common origin. Every other
+   member is compared with it, and links found are merged into components.
+2. Pairs that share a bucket but no component yet are compared inside tasks,
+   block by block of the bucket; only pairs that outlive the signatures leave
+   the task. A pair in one component needs no link of its own.
 
 Every pair that shares a bucket is therefore verified, dropped by the bound,
 or known to be connected.
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from faultline.llm.common import materialize, ship
+from faultline.llm.common import materialize, partitions, ship
 
 ship(__name__)
 
@@ -41,7 +42,10 @@ BANDS, ROWS = 32, 4
 HASHES = BANDS * ROWS
 #: Hashes compared at a time, and the chance at which a pair is dropped.
 BATCH = 32
-MISS = 1e-7
+MISS = 1e-6
+#: Rows of a block in which a bucket is compared, and texts of one in which pairs are verified.
+BLOCK = 256
+TEXT_BLOCK = 1024
 CACHE_WORDS = 400_000
 
 SETS = "doc_id long, text_hash long, n_shingles long, set_id binary, signature binary"
@@ -151,40 +155,85 @@ def least_matches(threshold: float, miss: float = MISS) -> list[tuple[int, int]]
     return out
 
 
+def outliving(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Which pairs of signature rows no batch rules out."""
+    alive = np.arange(len(left))
+    matches = np.zeros(len(left), np.int64)
+    for n, kept in least_matches(THRESHOLD / 100):
+        batch = slice(n - BATCH, n)
+        matches[alive] += (left[alive, batch] == right[alive, batch]).sum(axis=1)
+        alive = alive[matches[alive] >= kept]
+    return alive
+
+
 def posterior_filter(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Pairs (a, b, sa, sb) that no batch of their signatures rules out."""
-    bounds = least_matches(THRESHOLD / 100)
     for part in parts:
-        left = np.arange(len(part))
-        if not len(left):
-            continue
-        sa = np.frombuffer(b"".join(part["sa"]), np.uint32).reshape(-1, HASHES)
-        sb = np.frombuffer(b"".join(part["sb"]), np.uint32).reshape(-1, HASHES)
-        matches = np.zeros(len(part), np.int64)
-        for n, kept in bounds:
-            batch = slice(n - BATCH, n)
-            matches[left] += (sa[left, batch] == sb[left, batch]).sum(axis=1)
-            left = left[matches[left] >= kept]
-        yield part.iloc[left][["a", "b"]]
+        if len(part):
+            sa = np.frombuffer(b"".join(part["sa"]), np.uint32).reshape(-1, HASHES)
+            sb = np.frombuffer(b"".join(part["sb"]), np.uint32).reshape(-1, HASHES)
+            yield part.iloc[outliving(sa, sb)][["a", "b"]]
 
 
-def verify(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Pairs (a, b, ta, tb) whose full sets are similar enough.
+def compare_blocks(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Pairs (a, b) of different components within rows of one (bucket, lo, hi).
 
-    Pairs of one ``a`` mostly arrive together, so its set is built once.
+    Rows come sorted by that key and are taken a group at a time; a group is
+    one block of a bucket, or two blocks whose members meet. A pair counts in
+    the first band it shares only.
     """
-    numbers = WordNumbers()
-    last, own = None, np.zeros(0, np.uint64)
+    held: pd.DataFrame | None = None
     for part in parts:
-        kept = []
-        for i, (a, ta, tb) in enumerate(zip(part["a"], part["ta"], part["tb"], strict=True)):
-            if a != last:
-                last, own = a, shingles(ta, numbers)
-            other = shingles(tb, numbers)
-            common = len(np.intersect1d(own, other, assume_unique=True))
-            if 100 * common >= THRESHOLD * (len(own) + len(other) - common):
-                kept.append(i)
-        yield part.iloc[kept][["a", "b"]]
+        rows = part if held is None else pd.concat([held, part], ignore_index=True)
+        if not len(rows):
+            continue
+        key = rows[["bucket", "lo", "hi"]].to_numpy()
+        edges = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]).any(axis=1)])
+        held = rows.iloc[edges[-1] :].reset_index(drop=True)
+        for start, end in zip(edges, edges[1:], strict=False):
+            yield from compare_group(rows.iloc[start:end])
+    if held is not None:
+        yield from compare_group(held)
+
+
+def compare_group(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
+    n = rows["n"].to_numpy()
+    label = pd.factorize(rows["label"])[0]
+    block = rows["block"].to_numpy()
+    lo, hi, band = (int(rows[c].iloc[0]) for c in ("lo", "hi", "band"))
+    i, j = np.triu_indices(len(rows), 1)
+    fits = (label[i] != label[j]) & (
+        100 * np.minimum(n[i], n[j]) >= THRESHOLD * np.maximum(n[i], n[j])
+    )
+    if lo != hi:
+        fits &= block[i] != block[j]
+    i, j = i[fits], j[fits]
+    if not len(i):
+        return
+    sig = np.frombuffer(b"".join(rows["signature"]), np.uint32).reshape(-1, HASHES)
+    ids = rows["set_id"].to_numpy()
+    for at in range(0, len(i), 1 << 15):
+        a, b = i[at : at + (1 << 15)], j[at : at + (1 << 15)]
+        same = (sig[a] == sig[b]).reshape(len(a), BANDS, ROWS).all(axis=2)
+        first = same.argmax(axis=1) == band
+        a, b = a[first], b[first]
+        alive = outliving(sig[a], sig[b])
+        yield pd.DataFrame({"a": ids[a[alive]], "b": ids[b[alive]]})
+
+
+def verify(key: tuple, pairs: pd.DataFrame, texts: pd.DataFrame) -> pd.DataFrame:
+    """The pairs (a, b) of two blocks of texts whose full sets are similar enough."""
+    numbers = WordNumbers()
+    sets = {
+        bytes(i): shingles(t, numbers)
+        for i, t in zip(texts["set_id"], texts["text"], strict=True)
+    }
+    kept = []
+    for a, b in zip(pairs["a"], pairs["b"], strict=True):
+        one, other = sets[bytes(a)], sets[bytes(b)]
+        common = len(np.intersect1d(one, other, assume_unique=True))
+        kept.append(100 * common >= THRESHOLD * (len(one) + len(other) - common))
+    return pairs.loc[kept, ["a", "b"]]
 
 
 def same_set(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -214,24 +263,95 @@ def texts_of(docs: DataFrame, carriers: DataFrame) -> DataFrame:
     return materialize(matched.dropDuplicates(["set_id"]), "near-texts")
 
 
-def linked(pairs: DataFrame, classes: DataFrame, docs: DataFrame, first: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, docs: DataFrame, first: DataFrame) -> DataFrame:
     """The pairs (a, b) of set ids that are links, as a written table.
 
-    Signatures and texts are joined to the pairs by set id; a set id that
-    many pairs share is a skewed key of a plain join. Only the texts of pairs
-    that outlive the signatures are fetched.
+    Texts are fetched once each and dealt to blocks by their set id; a pair is
+    verified where its two blocks meet, so a text goes to a task once and not
+    with each of its pairs.
     """
+    needed = materialize(
+        pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct(), "near-needed"
+    )
+    blocks = max(1, -(-needed.count() // TEXT_BLOCK))
+    texts = texts_of(docs, materialize(first.join(needed, "set_id"), "near-carriers"))
+    block = lambda c: F.pmod(F.xxhash64(c), F.lit(blocks))
+    met = pairs.withColumn("x", F.least(block("a"), block("b"))).withColumn(
+        "y", F.greatest(block("a"), block("b"))
+    )
+    places = met.select("x", "y", F.col("a").alias("set_id")).union(met.select("x", "y", "b"))
+    sent = places.toDF("u", "v", "set_id").distinct().join(texts, "set_id")
+    sent = materialize(sent.select("u", "v", "set_id", "text"), "near-sent")
+    links = (
+        met.groupBy("x", "y")
+        .cogroup(sent.groupBy("u", "v"))
+        .applyInPandas(verify, "a binary, b binary")
+    )
+    return materialize(links, "near-links")
+
+
+def hub_links(
+    members: DataFrame, classes: DataFrame, docs: DataFrame, first: DataFrame
+) -> tuple[DataFrame, DataFrame]:
+    """(pairs compared, links found) between the members of buckets and their hubs."""
+    popular = members.groupBy("set_id").agg(F.sum("c").alias("pop"))
+    hubs = materialize(
+        members.join(popular, "set_id")
+        .groupBy("bucket")
+        .agg(F.max(F.struct("pop", "set_id", "n")).alias("hub")),
+        "near-hubs",
+    )
+    pairs = materialize(
+        members.join(hubs, "bucket")
+        .select(F.col("hub.set_id").alias("a"), F.col("hub.n").alias("m"), F.col("set_id").alias("b"), "n")
+        .where("a <> b")
+        .where(could_link("n", "m"))
+        .select("a", "b")
+        .distinct(),
+        "near-star",
+    )
     sig = classes.select("set_id", "signature")
     posed = pairs.join(sig.toDF("b", "sb"), "b").join(sig.toDF("a", "sa"), "a")
     survivors = materialize(
         posed.select("a", "b", "sa", "sb").mapInPandas(posterior_filter, "a binary, b binary"),
         "near-survivors",
     )
-    needed = survivors.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
-    texts = texts_of(docs, materialize(first.join(needed, "set_id", "left_semi"), "near-needed"))
-    whole = survivors.join(texts.toDF("b", "tb"), "b").join(texts.toDF("a", "ta"), "a")
-    return materialize(
-        whole.select("a", "b", "ta", "tb").mapInPandas(verify, "a binary, b binary"), "near-links"
+    return pairs, verified(survivors, docs, first)
+
+
+def other_pairs(members: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs (a, b) across components that share a bucket and outlive the signatures."""
+    named = materialize(
+        members.join(labels, "set_id", "left").select(
+            "bucket", "band", "set_id", "n", "c", F.coalesce("label", "set_id").alias("label")
+        ),
+        "near-named",
+    )
+    several = (
+        named.groupBy("bucket")
+        .agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
+        .where("lo <> hi")
+        .select("bucket")
+    )
+    blocks = F.ceil(F.col("c") / BLOCK).cast("int")
+    left = (
+        named.join(materialize(several, "near-mixed"), "bucket", "left_semi")
+        .withColumn("block", F.pmod(F.xxhash64("set_id"), blocks).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+        .withColumn("lo", F.least("block", "other"))
+        .withColumn("hi", F.greatest("block", "other"))
+    )
+    posed = materialize(
+        left.join(classes.select("set_id", "signature"), "set_id").select(
+            "bucket", "lo", "hi", "band", "block", "set_id", "n", "label", "signature"
+        ),
+        "near-posed",
+    )
+    key = ["bucket", "lo", "hi"]
+    return (
+        posed.repartition(partitions(posed.sparkSession), *key)
+        .sortWithinPartitions(*key)
+        .mapInPandas(compare_blocks, "a binary, b binary")
     )
 
 
@@ -283,7 +403,7 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def band_keys(classes: DataFrame) -> DataFrame:
-    """(bucket, set_id, n) for each band of each class that meets another."""
+    """(bucket, band, set_id, n) for each band of each class."""
 
     def keys(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
@@ -296,13 +416,14 @@ def band_keys(classes: DataFrame) -> DataFrame:
             yield pd.DataFrame(
                 {
                     "bucket": h.astype(np.int64).ravel(),
+                    "band": np.tile(np.arange(BANDS, dtype=np.int32), len(part)),
                     "set_id": np.repeat(part["set_id"].values, BANDS),
                     "n": np.repeat(part["n_shingles"].values, BANDS),
                 }
             )
 
     return classes.select("set_id", "n_shingles", "signature").mapInPandas(
-        keys, "bucket long, set_id binary, n long"
+        keys, "bucket long, band int, set_id binary, n long"
     )
 
 
@@ -344,51 +465,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     bands = band_keys(classes)
     met = materialize(
-        bands.groupBy("bucket")
-        .agg(F.count(F.lit(1)).alias("c"), F.min("set_id").alias("pivot"))
-        .where("c > 1")
-        .select("bucket", "pivot"),
-        "near-buckets",
+        bands.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).where("c > 1"), "near-buckets"
     )
     members = materialize(bands.join(met, "bucket"), "near-members")
-
-    of = members.groupBy("set_id", "pivot").agg(F.first("n").alias("n"))
-    sizes = classes.select(F.col("set_id").alias("pivot"), F.col("n_shingles").alias("m"))
-    star = materialize(
-        of.where("set_id <> pivot")
-        .join(sizes, "pivot")
-        .where(could_link("n", "m"))
-        .select(F.col("pivot").alias("a"), F.col("set_id").alias("b")),
-        "near-star",
-    )
-    links = linked(star, classes, docs, first)
-    labels = components(links)
-
-    # buckets that still hold several components
-    named = members.join(labels, "set_id", "left").select(
-        "bucket", "set_id", "n", F.coalesce("label", "set_id").alias("label")
-    )
-    named = materialize(named, "near-named")
-    mixed_buckets = (
-        named.groupBy("bucket")
-        .agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
-        .where("lo <> hi")
-        .select("bucket")
-    )
-    left = materialize(named.join(mixed_buckets, "bucket", "left_semi"), "near-mixed")
-    other = left.toDF("bucket", "set_id2", "n2", "label2")
-    tested = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = materialize(
-        left.join(other, "bucket")
-        .where("label <> label2 and set_id < set_id2")
-        .where(could_link("n", "n2"))
-        .select(F.col("set_id").alias("a"), F.col("set_id2").alias("b"))
-        .distinct()
-        .join(tested, ["a", "b"], "left_anti"),
-        "near-rest",
-    )
-    more = linked(rest, classes, docs, first)
-    labels = components(links.union(more))
+    compared, links = hub_links(members, classes, docs, first)
+    rest = other_pairs(members, components(links), classes)
+    known = compared.union(compared.select("b", "a"))
+    rest = materialize(rest.join(known, ["a", "b"], "left_anti"), "near-rest")
+    labels = components(links.union(verified(rest, docs, first)))
 
     groups = first.join(labels, "set_id", "left").select(
         "set_id", "first", F.coalesce("label", "set_id").alias("label")
