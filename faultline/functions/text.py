@@ -63,10 +63,14 @@ def is_report_object(json_text, parsed) -> Column:
     """True when ``parsed`` came from one JSON object.
 
     Malformed text yields a struct of nulls rather than a null struct, so the
-    corrupt-record field decides.
+    corrupt-record field decides. The parser stops behind the first object;
+    that nothing follows it is tested by reading the text as an array's only item.
     """
     json_text, parsed = column(json_text), column(parsed)
-    whole = json_text.startswith("{") & json_text.endswith("}")
+    alone = F.from_json(
+        F.concat(F.lit("["), json_text, F.lit("]")), "array<string>", {"allowSingleQuotes": "false"}
+    )
+    whole = json_text.startswith("{") & (F.size(alone) == 1)
     return F.coalesce(whole & parsed["_corrupt_record"].isNull(), F.lit(False))
 
 

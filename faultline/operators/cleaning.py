@@ -7,6 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from faultline.functions.numeric import nan_to_null
+from faultline.operators.profile import is_missing
 from faultline.functions.text import clean_name
 from faultline.schemas import CLEAN_COLUMNS
 
@@ -43,7 +44,7 @@ def column_check(df: DataFrame, expected: Iterable[str]) -> DataFrame:
         present = name in df.columns
         status = "extra" if name not in expected else "present" if present else "missing"
         quoted = f"`{name}`"
-        nulls = F.count_if(F.col(quoted).isNull()) if present else F.lit(None).cast("bigint")
+        nulls = F.count_if(is_missing(df, name)) if present else F.lit(None).cast("bigint")
         entries.append(
             F.struct(
                 F.lit(name).alias("column"), F.lit(status).alias("status"), nulls.alias("nulls")
@@ -53,8 +54,16 @@ def column_check(df: DataFrame, expected: Iterable[str]) -> DataFrame:
 
 
 def typed(name: str, kind: str) -> Column:
-    """A column under its type; what is no value of it, or NaN, is null."""
+    """A column under its type; what is no value of it, or NaN, is null.
+
+    A whole number written with a decimal point, as in ``1551.0``, is an
+    integer; one with a fraction is not.
+    """
     value = F.col(name).try_cast(kind)
+    if kind in ("int", "bigint"):
+        number = F.col(name).try_cast("decimal(38,6)")
+        whole = F.when(number == F.floor(number), F.floor(number).try_cast(kind))
+        return F.coalesce(value, whole).alias(name)
     return (nan_to_null(value) if kind == "double" else value).alias(name)
 
 
@@ -81,9 +90,7 @@ def cast_losses(df: DataFrame, columns: Sequence[tuple[str, str]] = CLEAN_COLUMN
     entries = [
         F.struct(
             F.lit(name).alias("column"),
-            F.count_if(F.col(name).isNotNull() & F.col(name).try_cast(kind).isNull()).alias(
-                "lost"
-            ),
+            F.count_if(F.col(name).isNotNull() & typed(name, kind).isNull()).alias("lost"),
         )
         for name, kind in columns
     ]

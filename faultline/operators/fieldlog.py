@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from faultline.functions.numeric import column, percent_text
+from faultline.functions.numeric import column, nan_to_null, percent_text
 from faultline.functions.risk import machine_label, machine_number, outcome_text, risk_tier
 from faultline.functions.text import (
     is_report_object,
@@ -155,6 +155,7 @@ def machine_facts(
     mode: str = "exact",
 ) -> DataFrame:
     """Fact sheet of the k riskiest machines, a row per matching report."""
+    scored = scored.withColumn("prob_failure", nan_to_null("prob_failure"))
     fleet_mean = scored.agg(F.avg("prob_failure")).scalar()
     narrow = scored.select(key, "prob_failure", "machine_failure")
     head = top_k_ranked(narrow, "prob_failure", key, k, "display_rank")

@@ -33,7 +33,9 @@ def capacity_threshold(df: DataFrame, score: str, key: str, k: int) -> DataFrame
         F.coalesce(F.max(F.when(F.col("selected") >= k, F.col("score"))), F.min("score")).alias(
             "cutoff_score"
         ),
-        F.least(F.max("selected"), F.lit(k).cast("bigint")).alias("selected"),
+        F.least(
+            F.coalesce(F.max("selected"), F.lit(0)).cast("bigint"), F.lit(k).cast("bigint")
+        ).alias("selected"),
     ).select(F.lit(k).alias("k"), "cutoff_score", "selected")
 
 

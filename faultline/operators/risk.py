@@ -160,8 +160,8 @@ def histogram(
 ) -> DataFrame:
     """Equal-width counts, empty bins included, the last bin closed.
 
-    Without bounds the range is the data's minimum and maximum, widened by a
-    half on each side when they are equal. Values outside given bounds are not
+    A bound that is not given is the data's minimum or maximum, widened by a
+    half when those are equal. Values outside given bounds are not
     counted.
     """
     spark = df.sparkSession
@@ -171,8 +171,8 @@ def histogram(
         flat = span["lo"] == span["hi"]
         lo = F.when(flat, span["lo"] - F.lit(0.5)).otherwise(span["lo"])
         hi = F.when(flat, span["hi"] + F.lit(0.5)).otherwise(span["hi"])
-    else:
-        lo, hi = F.lit(float(lower)), F.lit(float(upper))
+    lo = lo if lower is None else F.lit(float(lower))
+    hi = hi if upper is None else F.lit(float(upper))
     x = F.col("_x")
     place = F.floor((x - lo) / (hi - lo) * F.lit(float(bins)))
     counted = (

@@ -407,7 +407,11 @@ CLEAN_ORDER = [
 
 
 def lost(name: str, kind: str) -> str:
-    return f"count(*) filter (where {name} is not null and try_cast({name} as {kind}) is null)"
+    # lost: present, and no number of the type once "NaN" counts as missing
+    unread = f"try_cast({name} as {kind}) is null"
+    if kind == "double":
+        unread = f"({unread} or isnan(try_cast({name} as double)))"
+    return f"count(*) filter (where {name} is not null and {unread})"
 
 
 add(
