@@ -4,7 +4,7 @@ Entities are found by pattern. Each distinct entity gets a replacement drawn
 from SHA-256 of (secret key, kind, canonical form, attempt, place):
 
     email      letters and digits anew, separators and top domain kept
-    ip         four octets of public form
+    ip         four octets of 0 to 255, the first from 1 to 222
     phone      country code and punctuation kept, digits anew
     card       length, grouping, issuer digit and Luhn validity kept
     ssn, iban  format kept, digits and letters anew
