@@ -3,6 +3,7 @@ settings, round counts are parameters."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -12,6 +13,7 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import AtomicType
 
 from faultline.models.features import CATEGORICAL, SAFE_NUMERIC, TARGET, feature_stages
 from faultline.storage import enable_checkpoints
@@ -22,6 +24,10 @@ BOOSTING = {"maxDepth": 6, "stepSize": 0.05, "maxIter": 300}
 LOGISTIC = {"maxIter": 3000}
 SEED = 42
 
+#: Rows in a partition of a learner's input, and its partitions at least.
+ROWS_PER_PARTITION = 100_000
+LEAST_PARTITIONS = 8
+
 
 def forest(label: str = TARGET, features: str = "features", seed: int = SEED, **overrides):
     return RandomForestClassifier(
@@ -35,13 +41,18 @@ def boosting(label: str = TARGET, features: str = "features", seed: int = SEED,
     )
 
 
-def spread(rows: DataFrame) -> DataFrame:
-    """At least one partition per core, for rows a learner scans many times.
+def spread(rows: DataFrame, count: int | None = None) -> DataFrame:
+    """Rows dealt out by their plain columns and sorted by them in each partition.
 
-    A large table has far more partitions and is left alone.
+    Learners seed their sampling by partition and place, so both follow from
+    the rows and their number alone, not from files, cores or cluster. Keep
+    the row key among the columns: rows that share all plain columns are
+    interchangeable only if their vectors are equal too.
     """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
+    count = rows.count() if count is None else count
+    n = max(LEAST_PARTITIONS, math.ceil(count / ROWS_PER_PARTITION))
+    plain = [f.name for f in rows.schema if isinstance(f.dataType, AtomicType)]
+    return rows.repartition(n, *plain).sortWithinPartitions(*plain)
 
 
 def fit_forest(
@@ -92,12 +103,13 @@ def fit_logistic(
     The penalty is 1/n: the weights sum to n and Spark averages the loss, so
     this equals an inverse regularisation strength of 1.
     """
-    settings = {"regParam": 1.0 / train.count(), "standardization": False, **LOGISTIC, **overrides}
+    count = train.count()
+    settings = {"regParam": 1.0 / count, "standardization": False, **LOGISTIC, **overrides}
     learner = LogisticRegression(
         labelCol=label, featuresCol="features", weightCol="class_weight", **settings
     )
     stages = feature_stages(categorical, numeric, scaled=True)
-    return Pipeline(stages=[*stages, learner]).fit(with_class_weights(spread(train), label))
+    return Pipeline(stages=[*stages, learner]).fit(with_class_weights(spread(train, count), label))
 
 
 def save_model(model: PipelineModel, path: str) -> None:

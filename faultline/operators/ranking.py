@@ -64,10 +64,10 @@ def global_rank(df: DataFrame, score: str, key: str, out: str = "rank") -> DataF
 
 
 def top_k(df: DataFrame, score: str, key: str, k: int) -> DataFrame:
-    """The k rows with the highest score, ties by lowest key."""
+    """The k rows with the highest score, ties by lowest key, in that order."""
     if k <= HEAD_LIMIT:
         return df.orderBy(*score_order(score, key)).limit(k)
-    return global_rank(df, score, key, "_rank").filter(F.col("_rank") <= k).drop("_rank")
+    return top_k_ranked(df, score, key, k, "_rank").drop("_rank")
 
 
 def top_k_ranked(df: DataFrame, score: str, key: str, k: int, out: str = "rank") -> DataFrame:
@@ -78,7 +78,7 @@ def top_k_ranked(df: DataFrame, score: str, key: str, k: int, out: str = "rank")
         return head.withColumn(
             out, F.row_number().over(Window.orderBy(*score_order(score, key))).cast("bigint")
         )
-    return global_rank(df, score, key, out).filter(F.col(out) <= k)
+    return in_rank_order(global_rank(df, score, key, out).filter(F.col(out) <= k), out)
 
 
 def flag_alerts(df: DataFrame, score: str, k: int, rank: str = "rank") -> DataFrame:

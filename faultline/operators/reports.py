@@ -72,9 +72,14 @@ def rejected_reports(reports: DataFrame) -> DataFrame:
 
 
 def one_score_per_machine(scored: DataFrame, key: str = "udi", order: str = "udi") -> DataFrame:
-    """First score of every machine; combines on the map side."""
+    """First score of every machine by ``order``; combines on the map side.
+
+    Rows that share machine and order give the lowest score, missing ones last.
+    """
+    score = nan_to_null("prob_failure")
+    first = F.struct(F.col(order), score.isNull(), score)
     return scored.groupBy(F.col(key).cast("bigint").alias("unit")).agg(
-        F.min_by("prob_failure", order).alias("prob_failure")
+        F.min_by(score, first).alias("prob_failure")
     )
 
 

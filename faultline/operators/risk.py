@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import AtomicType
 
 from faultline.functions import risk as fr
 from faultline.functions.numeric import (
@@ -192,5 +193,9 @@ def histogram(
 
 
 def lookup(df: DataFrame, unit: int, order: str, unit_column: str = "udi") -> DataFrame:
-    """First row of one machine; the equality filter reaches the file scan."""
-    return df.filter(column(unit_column) == unit).orderBy(order).limit(1)
+    """First row of one machine; the equality filter reaches the file scan.
+
+    Rows that share ``order`` are told apart by their other plain columns.
+    """
+    ties = [f.name for f in df.schema if isinstance(f.dataType, AtomicType) and f.name != order]
+    return df.filter(column(unit_column) == unit).orderBy(order, *ties).limit(1)

@@ -25,13 +25,14 @@ def load(
 def panels(
     predictions: DataFrame,
     log: DataFrame,
-    log_order: Sequence[str] = ("timestamp",),
+    log_order: Sequence[str],
     threshold: float = DEFAULT_THRESHOLD,
     k: int = 10,
     key: str = "udi",
     written: bool = True,
 ) -> dict[str, DataFrame]:
-    """Name -> frame. The risk table is written once, so a CSV is parsed once
+    """Name -> frame. ``log_order`` names columns that order the log fully;
+    stamps have seconds and tie. The risk table is written once, so a CSV is parsed once
     and panels read the columns they need. Pass ``written=False`` when the
     predictions are a columnar table already: the risk columns are row-local.
     """
@@ -55,5 +56,5 @@ def panels(
         ),
         "log_kpis": fieldlog.log_kpis(log),
         "urgency_breakdown": fieldlog.urgency_breakdown(log),
-        "latest_log": fieldlog.latest_log(log),
+        "latest_log": fieldlog.latest_log(log, *log_order),
     }

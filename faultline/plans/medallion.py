@@ -8,13 +8,14 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
+from faultline.functions.numeric import vector_element
 from faultline.models.features import CATEGORICAL, FULL_NUMERIC, SAFE_NUMERIC, TARGET
 from faultline.models.features import engineered, feature_stages
 from faultline.models.importance import feature_importance
 from faultline.models.score import serving_rows
 from faultline.models.train import forest, spread
 from faultline.operators import cleaning, quality
-from faultline.operators.curves import auc_fast
+from faultline.operators.curves import roc_auc
 from faultline.operators.metrics import binary_metrics, confusion_cells
 from faultline.operators.splitting import hash_split, split_counted
 from faultline.schemas import CLEAN_COLUMNS, raw_text_schema
@@ -119,6 +120,7 @@ def run(
     )
     if export_path:
         export_predictions(predictions, export_path)
+    measured = predictions.select(TARGET, vector_element("probability").alias("_score"))
     return MedallionRun(
         bronze,
         silver,
@@ -127,6 +129,6 @@ def run(
         model,
         warned,
         metrics,
-        auc_fast(predictions, TARGET, "probability"),
+        roc_auc(measured, "_score", TARGET).first()[0],
         feature_importance(model, scored.select(F.col("features"))),
     )

@@ -16,6 +16,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: How often this process has released its tables; caches of frames key on it.
+releases = 0
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach; a temporary one only in local mode."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -57,5 +61,7 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 
 def release(spark: SparkSession) -> None:
     """Delete every intermediate table this application has written."""
+    global releases
+    releases += 1
     folder = spark._jvm.org.apache.hadoop.fs.Path(application_folder(spark))
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
+from faultline import storage
 from faultline.functions.numeric import last_of_vector_text, thousands_text, vector_element
 from faultline.functions.risk import machine_number
 from faultline.functions.text import spoken_form, strip_markup
@@ -555,7 +556,7 @@ def prepared(spark, sf_dir):
 
 def parts(spark, sf_dir):
     """(train, test), written once per application and table folder."""
-    cache_key = (spark.sparkContext.applicationId, sf_dir, "parts")
+    cache_key = (storage.releases, spark.sparkContext.applicationId, sf_dir, "parts")
     if cache_key not in _fitted:
         written = materialize(prepared(spark, sf_dir), "model-input")
         _fitted[cache_key] = splitting.split_frames(written)
@@ -564,7 +565,7 @@ def parts(spark, sf_dir):
 
 def model(spark, sf_dir, kind):
     """A model is fitted once per application and shared by the queries."""
-    cache_key = (spark.sparkContext.applicationId, sf_dir, kind)
+    cache_key = (storage.releases, spark.sparkContext.applicationId, sf_dir, kind)
     if cache_key not in _fitted:
         fit = {
             "forest": lambda rows: train.fit_forest(rows),

@@ -162,7 +162,7 @@ def test_fleet_report(spark, sf_dir):
 
 def test_fleet_report_before_the_first_log_entry(spark, sf_dir, tmp_path):
     log = readers.read_log(spark, str(tmp_path / "none"))
-    frames = fleet_report.panels(views.scored(spark, sf_dir), log)
+    frames = fleet_report.panels(views.scored(spark, sf_dir), log, ("timestamp", "transcript"))
     assert frames["fleet_brief"].first()["recent_reports"] == ""
     assert frames["machine_facts"].count() == 10
 
