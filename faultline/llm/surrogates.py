@@ -50,6 +50,21 @@ KINDS = (
 )
 ANY = "|".join(f"(?:{p})" for _, p in KINDS)
 
+#: What a text with an entity must have: one of these pieces, or a match of NEEDED.
+PIECES = [
+    "@",
+    *["AKIA", "ASIA", "password=", "passwd=", "secret=", "token=", "api_key="],
+    *[
+        f"{title}{end} "
+        for titles in (TITLES_M, TITLES_F)
+        for t in titles.split("|")
+        for title, ends in [(t.removesuffix(r"\.?").replace(r"\.", "."), ("", ".") if t.endswith("?") else ("",))]
+        for end in ends
+    ],
+]
+#: Two digits around a mark (card, SSN, phone, IP), long digits, +1, IBAN, hex keys.
+NEEDED = r"\d[ .-]\d|\d\) ?\d|\d{13}|\+\d|[A-Z]\d\d|[0-9a-f]{40}"
+
 # given names by gender and script, and syllables of family names
 GIVEN = {
     ("m", "latin"): "Adam Bruno Carl Daniel Erik Felix Hugo Ivan Jonas Karl Leo Martin Nils Oscar Paul Robert",
@@ -66,6 +81,14 @@ SYLLABLES = {
 }
 
 
+def may_hold(text: Column) -> Column:
+    """False only for texts without any entity; far cheaper than the patterns."""
+    out = F.lit(False)
+    for piece in PIECES:
+        out = out | F.contains(text, F.lit(piece))
+    return F.coalesce(out | text.rlike(NEEDED), F.lit(False))
+
+
 def kind_of(entity: Column) -> Column:
     """The first kind whose pattern is the whole entity."""
     out = F.when(entity.rlike(f"^(?:{KINDS[0][1]})$"), KINDS[0][0])
@@ -333,8 +356,15 @@ def replace_private(docs: DataFrame, key: str) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("text").cast("string").alias("text"),
         doc.alias("doc"),
-    ).withColumn("found", F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(ANY), 0))
-    hits = materialize(read.where(F.size("found") > 0), "pii-hits")
+    )
+    # searched once: a filter on what is found would search again
+    searched = materialize(
+        read.where(may_hold(F.col("text"))).withColumn(
+            "found", F.regexp_extract_all("text", F.lit(ANY), 0)
+        ),
+        "pii-searched",
+    )
+    hits = searched.where(F.size("found") > 0)
     occurrences = (
         hits.select("doc", F.explode(F.array_distinct("found")).alias("entity"))
         .withColumn("kind", kind_of(F.col("entity")))
@@ -371,7 +401,10 @@ def replace_private(docs: DataFrame, key: str) -> DataFrame:
     changed = hits.join(by_doc, "doc").select(
         "doc_id", replaced.alias("text"), F.size("found").alias("n_replaced"), "kinds"
     )
-    same = read.where(F.size("found") == 0).select(
+    rest = read.where(~may_hold(F.col("text"))).unionByName(
+        searched.where(F.size("found") == 0).drop("found")
+    )
+    same = rest.select(
         "doc_id", "text", F.lit(0).alias("n_replaced"), F.array().cast("array<string>").alias("kinds")
     )
     return same.unionByName(changed)
