@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from faultline.functions.text import is_report_object
-from faultline.operators import cleaning, fieldlog, policy, risk
+from faultline.operators import cleaning, fieldlog, policy, reports, risk
 
 
 def test_whole_numbers_with_a_point_are_integers(spark):
@@ -54,3 +54,13 @@ def test_text_behind_the_object_is_no_report(spark):
     parsed = F.from_json("j", "fault_description string, _corrupt_record string")
     got = [r[0] for r in frame.select(is_report_object("j", parsed)).collect()]
     assert got == [True, False, False]
+
+
+def test_look_ups_break_ties_by_value(spark):
+    rows = [(1, 0.9, 0), (1, 0.1, 1), (2, float("nan"), 0), (2, 0.4, 1)]
+    columns = "udi int, prob_failure double, machine_failure int"
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, columns).repartition(3)
+        got = {r["unit"]: r["prob_failure"] for r in reports.one_score_per_machine(df).collect()}
+        assert got == {1: 0.1, 2: 0.4}
+        assert tuple(risk.lookup(df, 1, "udi").first()) == (1, 0.1, 1)
