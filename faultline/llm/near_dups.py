@@ -355,6 +355,15 @@ def other_pairs(members: DataFrame, labels: DataFrame, classes: DataFrame) -> Da
     )
 
 
+def settled(edges: DataFrame) -> bool:
+    """Whether every lower node has one edge and none below it, so that both steps change nothing."""
+    ends = edges.select(F.col("u").alias("id"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(
+        edges.select("v", F.lit(0), F.lit(1))
+    )
+    seen = ends.groupBy("id").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return seen.where("up > 1 or (up = 1 and down = 1)").isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """(set_id, label) of all linked ids; label is the component's smallest id.
 
@@ -369,7 +378,7 @@ def components(links: DataFrame) -> DataFrame:
         .distinct(),
         "near-edges",
     )
-    while True:
+    while not settled(edges):
         both = edges.union(edges.select("v", "u"))
         low = materialize(
             both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("m", "u").alias("m")),
@@ -384,17 +393,13 @@ def components(links: DataFrame) -> DataFrame:
         )
         low = materialize(large.groupBy("u").agg(F.min("v").alias("m")), "near-low")
         small = large.join(low, "u")
-        after = materialize(
+        edges = materialize(
             small.select(F.col("v").alias("u"), F.col("m").alias("v"))
             .union(low.select("u", "m"))
             .where("u <> v")
             .distinct(),
             "near-edges",
         )
-        settled = after.exceptAll(edges).isEmpty() and edges.exceptAll(after).isEmpty()
-        edges = after
-        if settled:
-            break
     roots = edges.select(F.col("v").alias("set_id"), F.col("v").alias("label")).distinct()
     return materialize(
         edges.select(F.col("u").alias("set_id"), F.col("v").alias("label")).union(roots),

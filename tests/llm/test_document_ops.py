@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 import pytest
@@ -16,6 +17,25 @@ def brute_set(text):
     return {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
 
 
+def test_components_of_chains_stars_and_loose_edges(spark):
+    rng = random.Random(5)
+    names = [bytes([i]) for i in range(60)]
+    rng.shuffle(names)
+    edges = [(names[i], names[i + 1]) for i in range(25)]
+    edges += [(names[30], names[i]) for i in range(31, 45)]
+    edges += [(names[50], names[51]), (names[51], names[50]), (names[55], names[55])]
+    want = {x: x for pair in edges for x in pair if pair[0] != pair[1]}
+    for _ in names:
+        for a, b in edges:
+            if a in want:
+                want[a] = want[b] = min(want[a], want[b])
+    links = spark.createDataFrame(edges, "a binary, b binary")
+    rows = near_dups.components(links).collect()
+    assert len(rows) == len(want)
+    assert {bytes(r.set_id): bytes(r.label) for r in rows} == want
+    assert near_dups.components(links.limit(0)).count() == 0
+
+
 def brute_components(docs):
     """{id: smallest id reachable} over documents with ids of their own."""
     sets = {i: brute_set(t) for i, t in docs}
