@@ -29,9 +29,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
 
-from faultline.llm.common import materialize, partitions, ship
+from faultline.llm.common import WORD, materialize, partitions, ship
 
 ship(__name__)
 
@@ -449,14 +448,11 @@ def document_sets(docs: DataFrame) -> DataFrame:
     )
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, text_hash, n_shingles, component_id, kept of every row.
+def labelled(docs: DataFrame) -> DataFrame:
+    """doc_id, text_hash, n_shingles, label, component_id of every row.
 
-    component_id is the smallest doc_id that links reach. Null and wordless
-    texts have an empty set, are linked with nothing and are kept. Rows that
-    repeat a doc_id are nodes of their own set; a row without doc_id takes
-    part and is kept only if no row of its component has one. Other columns
-    are not read, and an empty table gives no row.
+    Rows of one label are linked, whatever their doc_ids; label and
+    component_id of a row without words are null.
     """
     sets = document_sets(docs)
     full = sets.where("n_shingles > 0")
@@ -484,46 +480,77 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     smallest = groups.groupBy("label").agg(F.min("first").alias("component_id"))
     named = materialize(
-        groups.join(smallest, "label").select("set_id", "component_id"), "near-components"
+        groups.join(smallest, "label").select("set_id", "label", "component_id"), "near-components"
     )
     return (
         sets.select("doc_id", "text_hash", "n_shingles", "set_id")
         .join(named, "set_id", "left")
-        .select(
-            "doc_id",
-            "text_hash",
-            "n_shingles",
-            F.when(F.col("set_id").isNull(), F.col("doc_id"))
-            .otherwise(F.col("component_id"))
-            .alias("component_id"),
+        .select("doc_id", "text_hash", "n_shingles", "label", "component_id")
+    )
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, text_hash, n_shingles, component_id, kept of every row.
+
+    component_id is the smallest doc_id that links reach. Null and wordless
+    texts have an empty set, are linked with nothing and are kept. Rows that
+    repeat a doc_id are nodes of their own set; a row without doc_id takes
+    part and is kept only if no row of its component has one. Other columns
+    are not read, and an empty table gives no row.
+    """
+    return (
+        labelled(docs)
+        .withColumn(
+            "component_id",
+            F.when(F.col("label").isNull(), F.col("doc_id")).otherwise(F.col("component_id")),
         )
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+        .drop("label")
     )
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """``docs`` with one document of each component, that of smallest doc_id.
 
-    Wordless documents all stay. Where several rows carry the doc_id that
-    stays, the one with the smallest text does.
+    Wordless documents all stay. A component is what links reach, so texts
+    that share a doc_id, or have none, stay apart unless they are linked. Where
+    several texts of a component carry its smallest doc_id, the one with the
+    smallest hash stays; of rows alike in both, the one whose other columns
+    come first.
     """
-    found = materialize(near_duplicates(docs).where("n_shingles > 0"), "near-found")
-    doc_key = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
-    named = found.select(doc_key.alias("_id"), F.col("text_hash").alias("_hash"), "component_id", "kept")
-    several = named.where("kept").groupBy("_id").count().where("count > 1").select("_id")
-    gone = named.where("not kept").select("_id", "_hash").distinct()
+    doc_key = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("_id")
+    counts = (
+        labelled(docs)
+        .where("label is not null")
+        .groupBy("label", "doc_id", F.col("text_hash").alias("_hash"))
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_hash", "n")
+    stay = materialize(
+        counts.groupBy("label")
+        .agg(F.min(place).alias("_at"))
+        .select("_at.*")
+        .select(doc_key, "_hash", "n"),
+        "near-stay",
+    )
+    has_words = F.coalesce(F.col("_row.text").rlike(WORD), F.lit(False))
     rows = docs.select(
         F.struct(*docs.columns).alias("_row"),
-        doc_key.alias("_id"),
+        doc_key,
         F.xxhash64(F.coalesce("text", F.lit(""))).alias("_hash"),
     )
-    left = rows.join(gone, ["_id", "_hash"], "left_anti")
-    has_words = F.col("_row.text").rlike("[^\\x20\\x09-\\x0D]")
-    one = left.where(has_words).join(several, "_id", "left_semi").withColumn(
-        "_nth", F.row_number().over(W.partitionBy("_id").orderBy("_row.text", "_hash"))
-    )
-    rest = left.join(several.withColumn("_many", F.lit(True)), "_id", "left").where(
-        F.col("_many").isNull() | ~F.coalesce(has_words, F.lit(False))
+    worded = rows.where(has_words)
+    key = ["_id", "_hash"]
+    others = F.to_json(F.struct(*[F.col("_row")[c].alias(c) for c in docs.columns if c != "text"]))
+    kept = (
+        rows.where(~has_words)
+        .select("_row")
+        .union(worded.join(stay.where("n = 1"), key, "left_semi").select("_row"))
+        .union(
+            worded.join(stay.where("n > 1"), key, "left_semi")
+            .groupBy(*key)
+            .agg(F.min_by("_row", others).alias("_row"))
+            .select("_row")
+        )
     )
-    kept = rest.select("_row").union(one.where("_nth = 1").select("_row"))
     return kept.select(*[F.col("_row")[c].alias(c) for c in docs.columns])
