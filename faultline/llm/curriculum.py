@@ -70,8 +70,8 @@ def source_targets(sizes: DataFrame, max_epochs: int = MAX_EPOCHS) -> DataFrame:
 
 
 def due(offset: Column, target: Column, start: Column, end: Column) -> Column:
-    """The time at which a source's demand reaches ``offset`` words."""
-    share = F.least(offset / target, F.lit(1.0)) * (start + end) / 2
+    """The time at which a source's demand reaches ``offset`` words; 1 for a target of 0."""
+    share = F.least(offset / F.nullif(target, F.lit(0.0)), F.lit(1.0)) * (start + end) / 2
     slope = end - start
     # the root of slope/2 t^2 + start t - share that lies in 0..1
     return F.when(slope == 0, share / start).otherwise(

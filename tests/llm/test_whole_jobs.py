@@ -2,7 +2,7 @@
 
 from collections import Counter
 
-from faultline.llm import near_dups
+from faultline.llm import curriculum, near_dups
 
 DOCS = "doc_id long, text string, source string"
 
@@ -28,3 +28,17 @@ def test_one_document_of_each_component_stays(spark):
     two = [(3, sentence("ibis")), (3, sentence("ibis") + " more"), (3, sentence("jay"))]
     left = near_dups.drop_near_duplicates(spark.createDataFrame(two, "doc_id long, text string"))
     assert sorted(r.text[:3] for r in left.collect()) == ["ibi", "jay"]
+
+
+def test_a_source_without_words_takes_no_copy(spark):
+    rows = [(1, "a b c d", "full"), (2, "e f", "full"), (3, None, "none"), (4, "", "none")]
+    rows += [(5, " \t", "blank"), (6, None, None), (7, "g h i", "other")]
+    docs = spark.createDataFrame(rows, DOCS)
+    by = {r.doc_id: r for r in curriculum.place(docs).collect()}
+    assert len(by) == 7
+    for i in (3, 4, 5, 6):
+        assert (by[i].source_size, by[i].target, by[i].taken, by[i].copies) == (0, 0.0, 0, [])
+    assert sum(r.taken for r in by.values()) == 9
+    mixed = curriculum.mix(docs).collect()
+    assert {r.source for r in mixed} == {"full", "other"}
+    assert curriculum.mix(docs.where("source = 'none'")).count() == 0
