@@ -8,14 +8,17 @@ from SHA-256 of (secret key, kind, canonical form, attempt, place):
     phone      country code and punctuation kept, digits anew
     card       length, grouping, issuer digit and Luhn validity kept
     ssn, iban  format kept, digits and letters anew
-    secret     key prefixes and field names kept, the rest anew by class
+    secret     key prefixes and field names kept, the rest anew by class; a value
+               with fewer than LEAST_FRESH letters and digits gets more
     name       title kept; given name from a list of its gender and script,
                family name from syllables of its script
 
 Letters keep case and script (Latin, Greek, Cyrillic). The same canonical
 form gets the same replacement in every document. Replacements that meet
 each other, or any entity of the corpus, are drawn again with the next
-attempt until none do. Everything is DataFrame functions.
+attempt until none do. Emails and secrets behind a field name grow by a
+character with each attempt, so that a free one exists. Everything is DataFrame
+functions.
 """
 
 from __future__ import annotations
@@ -50,6 +53,9 @@ KINDS = (
 )
 ANY = "|".join(f"(?:{p})" for _, p in KINDS)
 
+#: Letters and digits that a secret's value has anew at least.
+LEAST_FRESH = 4
+
 #: What a text with an entity must have: one of these pieces, or a match of NEEDED.
 PIECES = [
     "@",
@@ -133,6 +139,10 @@ def letter(first: str, n: int, draw: Column) -> Column:
     return F.substring(F.lit(letters), draw % n + 1, F.lit(1))
 
 
+#: Characters that are drawn anew by class.
+CLASSED = "0-9a-zß-öø-ÿA-ZÀ-ÖØ-Þа-яА-Яα-ρσ-ωΑ-ΡΣ-Ω"
+
+
 def same_class(c: Column, draw: Column, hexes: bool = False) -> Column:
     """A character of the class, case and script of ``c``; marks stay."""
     out = F.when(c.rlike(r"^\d$"), (draw % 10).cast("string"))
@@ -206,6 +216,26 @@ def poured(shape: Column, digits: Column) -> Column:
     )
 
 
+def fresh(d: Column, first: Column, n: Column) -> Column:
+    """``n`` letters and digits, from the draws behind ``first``."""
+    marks = "0123456789abcdefghijklmnopqrstuvwxyz"
+    each = F.transform(
+        F.slice(d, first + 1, n), lambda x: F.substring(F.lit(marks), x % len(marks) + 1, F.lit(1))
+    )
+    return F.array_join(each, "")
+
+
+def secret_value(value: Column, d: Column, attempt: Column) -> Column:
+    """A field's value anew, with LEAST_FRESH fresh characters and one more for each attempt.
+
+    Letters and digits of other classes become Latin letters; marks stay.
+    """
+    classed = F.regexp_replace(value, rf"[\p{{L}}\p{{N}}&&[^{CLASSED}]]", "x")
+    free = F.length(F.regexp_replace(classed, f"[^{CLASSED}]", ""))
+    more = F.greatest(F.lit(0), F.lit(LEAST_FRESH) - free) + attempt
+    return F.concat(redrawn(classed, d), fresh(d, F.length(value), more))
+
+
 def person(canon: Column, d: Column) -> Column:
     """Title, given name if there is one, and family name, in lower case."""
     women = canon.rlike("^(?:" + TITLES_F.lower() + ") ")
@@ -238,7 +268,7 @@ def person(canon: Column, d: Column) -> Column:
     )
 
 
-def drawn(kind: Column, canon: Column, d: Column) -> Column:
+def drawn(kind: Column, canon: Column, d: Column, attempt: Column) -> Column:
     """The canonical form of the replacement."""
     top = F.length(F.regexp_extract(canon, r"\.[a-z]+$", 0))
     body = F.expr("left(canon, length(canon) - length(regexp_extract(canon, '\\\\.[a-z]+$', 0)))")
@@ -247,17 +277,19 @@ def drawn(kind: Column, canon: Column, d: Column) -> Column:
         (F.get(d, 0) % 222 + 1).cast("string"),
         *[(F.get(d, j) % 256).cast("string") for j in (1, 2, 3)],
     )
-    prefix = F.when(canon.rlike("^(?:AKIA|ASIA)"), 4).otherwise(
-        F.length(F.regexp_extract(canon, "^[a-z_]+=", 0))
-    )
+    field = F.regexp_extract(canon, "^[a-z_]+=", 0)
+    value = F.substring(canon, F.length(field) + 1, F.length(canon))
+    key_id = canon.rlike("^(?:AKIA|ASIA)")
+    grown = fresh(d, F.length(canon), attempt)
     return (
-        F.when(kind == "email", F.concat(redrawn(body, d), F.substring(canon, -top, top)))
+        F.when(kind == "email", F.concat(redrawn(body, d), grown, F.substring(canon, -top, top)))
         .when(kind == "card", card(canon, d))
         .when(kind == "ip", octets)
         .when(kind == "iban", redrawn(canon, d, F.lit(2)))
         .when(kind == "phone", F.concat(redrawn(canon, d)))
-        .when((kind == "secret") & (prefix == 0), redrawn(canon, d, hexes=True))
-        .when(kind == "secret", redrawn(canon, d, prefix))
+        .when((kind == "secret") & key_id, redrawn(canon, d, F.lit(4)))
+        .when((kind == "secret") & (field == ""), redrawn(canon, d, hexes=True))
+        .when(kind == "secret", F.concat(field, secret_value(value, d, attempt)))
         .when(kind == "name", person(canon, d))
         .otherwise(redrawn(canon, d))
     )
@@ -312,10 +344,10 @@ def surrogate_table(entities: DataFrame, key: str) -> DataFrame:
     found = materialize(entities.select("kind", "canon").distinct(), "pii-entities")
 
     def draw(rows: DataFrame) -> DataFrame:
-        n = F.length("canon") + 8
+        n = F.length("canon") + 8 + F.col("attempt")
         d = draws(key, F.col("kind"), F.col("canon"), F.col("attempt"), n)
         return rows.withColumn("_d", F.array(d)).withColumn(
-            "new", F.transform("_d", lambda x: drawn(F.col("kind"), F.col("canon"), x))[0]
+            "new", F.transform("_d", lambda x: drawn(F.col("kind"), F.col("canon"), x, F.col("attempt")))[0]
         ).drop("_d")
 
     table = materialize(draw(found.withColumn("attempt", F.lit(0))), "pii-drawn")

@@ -2,7 +2,7 @@
 
 from collections import Counter
 
-from faultline.llm import curriculum, near_dups
+from faultline.llm import curriculum, near_dups, surrogates
 
 DOCS = "doc_id long, text string, source string"
 
@@ -42,3 +42,15 @@ def test_a_source_without_words_takes_no_copy(spark):
     mixed = curriculum.mix(docs).collect()
     assert {r.source for r in mixed} == {"full", "other"}
     assert curriculum.mix(docs.where("source = 'none'")).count() == 0
+
+
+def test_secrets_that_leave_little_to_draw_find_a_surrogate(spark):
+    secrets = ["password=****", "secret=???", "token=...", "passwd=密码", "api_key=hunter2hunter2"]
+    secrets += [f"token={i}" for i in range(10)]
+    docs = spark.createDataFrame([(i, f"its {x} here") for i, x in enumerate(secrets)], "doc_id long, text string")
+    got = {r.doc_id: r.text.split()[1] for r in surrogates.replace_private(docs, "key").collect()}
+    assert len(set(got.values())) == len(secrets) == len(got) and not set(secrets) & set(got.values())
+    for i, x in enumerate(secrets):
+        assert got[i].startswith(x[: x.index("=") + 1])
+        assert sum(c.isascii() and c.isalnum() for c in got[i][x.index("=") :]) >= 4
+    assert "密" not in got[3] and len(got[4]) == len(secrets[4])
