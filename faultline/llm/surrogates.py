@@ -10,14 +10,16 @@ from SHA-256 of (secret key, kind, canonical form, attempt, place):
     ssn, iban  format kept, digits and letters anew
     secret     key prefixes and field names kept, the rest anew by class; a value
                with fewer than LEAST_FRESH letters and digits gets more
-    name       title kept; given name from a list of its gender and script,
-               family name from syllables of its script
+    name       title kept; each given name from a list of its gender and script,
+               family name from syllables of its script, both word by word
 
 Letters keep case and script (Latin, Greek, Cyrillic). The same canonical
-form gets the same replacement in every document. Replacements that meet
-each other, or any entity of the corpus, are drawn again with the next
-attempt until none do. Emails and secrets behind a field name grow by a
-character with each attempt, so that a free one exists. Everything is DataFrame
+form gets the same replacement in every document; a name has none of its own,
+but each of its words has, so a person's titles, and a family name with or
+without a given name, agree. Replacements that meet each other, or any entity
+of the corpus, are drawn again with the next attempt until none do. Emails,
+secrets behind a field name and the words of names grow by a character or a
+syllable with each attempt, so that a free one exists. Everything is DataFrame
 functions.
 """
 
@@ -55,6 +57,8 @@ ANY = "|".join(f"(?:{p})" for _, p in KINDS)
 
 #: Letters and digits that a secret's value has anew at least.
 LEAST_FRESH = 4
+#: Kinds of the words of names; given names by gender.
+NAME_PARTS = ("given_m", "given_f", "family")
 
 #: What a text with an entity must have: one of these pieces, or a match of NEEDED.
 PIECES = [
@@ -113,6 +117,22 @@ def canonical(kind: Column, entity: Column) -> Column:
     )
 
 
+def name_parts(entity: Column) -> Column:
+    """Array of (kind, canon) of the words of a name behind its title."""
+    women = entity.rlike(f"^(?:{TITLES_F}) ")
+    words = F.split(F.lower(entity), " ")
+    return F.transform(
+        F.slice(words, F.lit(2), F.size(words) - 1),
+        lambda w, i: F.struct(
+            F.when(i == F.size(words) - 2, "family")
+            .when(women, "given_f")
+            .otherwise("given_m")
+            .alias("kind"),
+            w.alias("canon"),
+        ),
+    )
+
+
 # -- drawing ----------------------------------------------------------------
 
 
@@ -236,36 +256,27 @@ def secret_value(value: Column, d: Column, attempt: Column) -> Column:
     return F.concat(redrawn(classed, d), fresh(d, F.length(value), more))
 
 
-def person(canon: Column, d: Column) -> Column:
-    """Title, given name if there is one, and family name, in lower case."""
-    women = canon.rlike("^(?:" + TITLES_F.lower() + ") ")
+def name_part(kind: Column, canon: Column, d: Column, attempt: Column) -> Column:
+    """A given name of the kind's gender, or a family name, in lower case."""
     script = F.when(canon.rlike(r"[а-я]"), "cyrillic").when(canon.rlike(r"[α-ω]"), "greek").otherwise("latin")
-    words = F.split(canon, " ")
 
     def pick(options: str, draw: Column) -> Column:
         names = options.lower().split()
         return F.get(F.array(*map(F.lit, names)), draw % len(names))
 
-    given = F.lit(None).cast("string")
-    family = F.lit(None).cast("string")
+    out = F.lit(None).cast("string")
     for s, syllables in SYLLABLES.items():
-        given = F.when(
-            script == s,
-            F.when(women, pick(GIVEN["f", s], F.get(d, 0))).otherwise(pick(GIVEN["m", s], F.get(d, 0))),
-        ).otherwise(given)
-        family = F.when(
-            script == s, F.concat(*[pick(syllables, F.get(d, j)) for j in range(1, 5)])
-        ).otherwise(family)
-    return F.array_join(
-        F.concat(
-            F.slice(words, 1, 1),
-            F.when(F.size(words) > 2, F.array_repeat(given, F.size(words) - 2)).otherwise(
-                F.slice(words, 1, 0)
-            ),
-            F.array(family),
-        ),
-        " ",
-    )
+        more = F.array_join(
+            F.transform(F.slice(d, F.lit(6), attempt), lambda x: pick(syllables, x)), ""  # noqa: B023
+        )
+        family = F.concat(*[pick(syllables, F.get(d, j)) for j in range(1, 5)])
+        given = F.when(kind == "given_f", pick(GIVEN["f", s], F.get(d, 0))).otherwise(
+            pick(GIVEN["m", s], F.get(d, 0))
+        )
+        out = F.when(
+            script == s, F.concat(F.when(kind == "family", family).otherwise(given), more)
+        ).otherwise(out)
+    return out
 
 
 def drawn(kind: Column, canon: Column, d: Column, attempt: Column) -> Column:
@@ -290,7 +301,7 @@ def drawn(kind: Column, canon: Column, d: Column, attempt: Column) -> Column:
         .when((kind == "secret") & key_id, redrawn(canon, d, F.lit(4)))
         .when((kind == "secret") & (field == ""), redrawn(canon, d, hexes=True))
         .when(kind == "secret", F.concat(field, secret_value(value, d, attempt)))
-        .when(kind == "name", person(canon, d))
+        .when(kind.isin(*NAME_PARTS), name_part(kind, canon, d, attempt))
         .otherwise(redrawn(canon, d))
     )
 
@@ -320,14 +331,7 @@ def dressed(kind: Column, entity: Column, new: Column) -> Column:
         )
         .when(kind.isin("card", "ssn", "iban"), poured(entity, new))
         .when(kind == "email", cased)
-        .when(
-            kind == "name",
-            F.concat_ws(
-                " ",
-                F.get(F.split(entity, " "), 0),
-                F.initcap(F.array_join(F.slice(F.split(new, " "), 2, 9), " ")),
-            ),
-        )
+        .when(kind == "name", F.concat_ws(" ", F.get(F.split(entity, " "), 0), F.initcap(new)))
         .otherwise(new)
     )
 
@@ -339,7 +343,8 @@ def surrogate_table(entities: DataFrame, key: str) -> DataFrame:
     """(kind, canon, new) for distinct (kind, canon), new distinct and unused.
 
     A draw that two entities share goes to the smaller one; a draw that is
-    itself an entity goes to none. The others draw again until all are apart.
+    itself an entity goes to none, nor does a word of any name to a word of
+    names. The others draw again until all are apart.
     """
     found = materialize(entities.select("kind", "canon").distinct(), "pii-entities")
 
@@ -357,7 +362,14 @@ def surrogate_table(entities: DataFrame, key: str) -> DataFrame:
             .agg(F.min("canon").alias("owner"), F.count(F.lit(1)).alias("n"))
             .where("n > 1")
         )
-        used = found.select("kind", F.col("canon").alias("new"), F.lit(True).alias("used"))
+        barred = F.when(
+            F.col("kind").isin(*NAME_PARTS), F.array(*map(F.lit, NAME_PARTS))
+        ).otherwise(F.array("kind"))
+        used = (
+            found.select(F.explode(barred).alias("kind"), F.col("canon").alias("new"))
+            .distinct()
+            .withColumn("used", F.lit(True))
+        )
         judged = materialize(
             table.join(shared, ["kind", "new"], "left").join(used, ["kind", "new"], "left"),
             "pii-judged",
@@ -403,9 +415,31 @@ def replace_private(docs: DataFrame, key: str) -> DataFrame:
         .withColumn("canon", canonical(F.col("kind"), F.col("entity")))
     )
     occurrences = materialize(occurrences, "pii-occurrences")
-    table = surrogate_table(occurrences, key)
+    names = materialize(
+        occurrences.where("kind = 'name'")
+        .select("entity")
+        .distinct()
+        .select("entity", F.posexplode(name_parts(F.col("entity"))).alias("at", "part"))
+        .select("entity", "at", "part.kind", "part.canon"),
+        "pii-names",
+    )
+    others = occurrences.where("kind <> 'name'")
+    table = surrogate_table(
+        others.select("kind", "canon").union(names.select("kind", "canon")), key
+    )
+    whole = (
+        names.join(table, ["kind", "canon"])
+        .groupBy("entity")
+        .agg(F.sort_array(F.collect_list(F.struct("at", "new"))).alias("words"))
+        .select("entity", F.array_join(F.col("words.new"), " ").alias("new"))
+    )
+    found = others.join(table, ["kind", "canon"]).select("doc", "kind", "entity", "new")
     named = (
-        occurrences.join(table, ["kind", "canon"])
+        found.unionByName(
+            occurrences.where("kind = 'name'")
+            .join(whole, "entity")
+            .select("doc", "kind", "entity", "new")
+        )
         .withColumn("new", dressed(F.col("kind"), F.col("entity"), F.col("new")))
         .select("doc", "kind", F.struct("entity", "new").alias("pair"))
         .distinct()

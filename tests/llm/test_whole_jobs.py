@@ -54,3 +54,31 @@ def test_secrets_that_leave_little_to_draw_find_a_surrogate(spark):
         assert got[i].startswith(x[: x.index("=") + 1])
         assert sum(c.isascii() and c.isalnum() for c in got[i][x.index("=") :]) >= 4
     assert "密" not in got[3] and len(got[4]) == len(secrets[4])
+
+
+def test_words_of_names_keep_their_surrogates(spark):
+    texts = [
+        "Mr Smith met Mr. Smith",
+        "Mr. John Smith and Mr. Smith",
+        "Mrs. Smith with Frau Anna Maria Kern, Frau Maria Kern",
+        "Herr John Kern",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = surrogates.replace_private(docs, "key").collect()
+    got = {r.doc_id: r.text.replace(",", "").split() for r in rows}
+    smith = got[0][1]
+    assert smith != "Smith" and got[0] == ["Mr", smith, "met", "Mr.", smith]
+    john = got[1][1]
+    assert got[1] == ["Mr.", john, smith, "and", "Mr.", smith]
+    title, other, _, _, anna, maria, kern, *rest = got[2]
+    assert (title, other) == ("Mrs.", smith) and rest == ["Frau", maria, kern]
+    assert got[3] == ["Herr", john, kern]
+    assert len({smith, john, anna, maria, kern}) == 5
+    assert {r.n_replaced for r in rows} == {1, 2, 3} and all(r.kinds == ["name"] for r in rows)
+
+
+def test_more_given_names_than_the_list_has(spark):
+    rows = [("given_m", f"name{i}") for i in range(40)] + [("family", "adam"), ("given_f", "adam")]
+    table = surrogates.surrogate_table(spark.createDataFrame(rows, "kind string, canon string"), "k").collect()
+    assert len(table) == 42 == len({(r.kind, r.new) for r in table})
+    assert not {r.new for r in table} & {x for _, x in rows}
