@@ -27,9 +27,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from faultline.llm.common import bind, materialize, partitions
+from faultline.llm.common import WORD, bind, materialize, partitions
 
 MIN_WORDS = 10
+#: ASCII white space, which parts words and is trimmed from lines.
+BLANKS = " \t\n\x0b\f\r"
+#: Characters of scripts that part no words by blanks, and how many of them count as a word.
+UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
+CHARS_PER_WORD = 2
 #: Bits that hold the place of a class in its sort partition.
 PLACE_BITS = 40
 
@@ -39,8 +44,14 @@ def lines_of(text: Column) -> Column:
 
 
 def words_in(line: Column) -> Column:
-    """Pieces between single blanks of a trimmed line."""
-    return F.when(line == "", 0).otherwise(F.size(F.split(line, " ")))
+    """Words between white space, or by characters of unspaced scripts, if these give more."""
+    words = F.regexp_count(line, F.lit(WORD))
+    unspaced = F.length(line) - F.length(F.regexp_replace(line, f"{UNSPACED}+", ""))
+    # such characters have three bytes or more
+    some = F.octet_length(line) - F.length(line) >= 4 * CHARS_PER_WORD
+    return F.when(
+        some, F.greatest(words, F.floor(unspaced / CHARS_PER_WORD).cast("int"))
+    ).otherwise(words)
 
 
 def doc_key() -> Column:
@@ -55,7 +66,7 @@ def sequences(docs: DataFrame) -> DataFrame:
     """doc, lines: array of (pos, a, b, words) of lines with words.
 
     Rows alike in doc_id and text are one document. A line is known by two
-    64-bit hashes of its trimmed text; lines without words take no part, so
+    64-bit hashes of its text less white space at its ends; lines without words take no part, so
     blank lines neither break nor make a run.
     """
 
@@ -64,7 +75,7 @@ def sequences(docs: DataFrame) -> DataFrame:
             F.transform(
                 lines,
                 lambda line, i: bind(
-                    F.trim(line),
+                    F.trim(line, F.lit(BLANKS)),
                     lambda t: F.struct(
                         i.alias("pos"),
                         F.xxhash64(t).alias("a"),

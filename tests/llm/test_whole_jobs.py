@@ -2,7 +2,7 @@
 
 from collections import Counter
 
-from faultline.llm import curriculum, near_dups, surrogates
+from faultline.llm import curriculum, line_runs, near_dups, surrogates
 
 DOCS = "doc_id long, text string, source string"
 
@@ -82,3 +82,19 @@ def test_more_given_names_than_the_list_has(spark):
     table = surrogates.surrogate_table(spark.createDataFrame(rows, "kind string, canon string"), "k").collect()
     assert len(table) == 42 == len({(r.kind, r.new) for r in table})
     assert not {r.new for r in table} & {x for _, x in rows}
+
+
+def test_words_of_lines_part_at_white_space(spark):
+    tabbed = "\t".join(f"t{i}" for i in range(60))
+    han = "春眠不觉晓处处闻啼鸟夜来风雨声花落知多少"
+    thai = "ภาษาไทยเป็นภาษาที่มีระดับเสียงของคำแน่นอนหรือวรรณยุกต์"
+    spaced = " ".join(f"s{i}" for i in range(12))
+    doubled = "five  words  with  double  blanks"
+    url = "https://example.org/a-long-path/that-is-one-word/and-no-more.html"
+    lines = [tabbed, han, thai, spaced, f"\t{spaced}", f"{spaced}\r", doubled, url, "短い行"]
+    docs = [(i, f"own line {i}\n{line}\nlast one {i}") for i, line in enumerate(lines)]
+    docs += [(10 + i, text.replace("own", "other").replace("last", "end")) for i, text in docs]
+    got = line_runs.drop_repeated_lines(spark.createDataFrame(docs, "doc_id long, text string"))
+    deleted = {r.doc_id: r.n_deleted for r in got.collect()}
+    assert [deleted[i] for i in range(9)] == [0, 0, 0, 0, 1, 1, 0, 0, 0]
+    assert [deleted[10 + i] for i in range(9)] == [1, 1, 1, 1, 1, 1, 0, 0, 0]
