@@ -2,7 +2,9 @@
 
 from collections import Counter
 
-from faultline.llm import curriculum, line_runs, near_dups, surrogates
+from pyspark.sql import functions as F
+
+from faultline.llm import curriculum, line_runs, near_dups, surrogates, syncmers
 
 DOCS = "doc_id long, text string, source string"
 
@@ -98,3 +100,42 @@ def test_words_of_lines_part_at_white_space(spark):
     deleted = {r.doc_id: r.n_deleted for r in got.collect()}
     assert [deleted[i] for i in range(9)] == [0, 0, 0, 0, 1, 1, 0, 0, 0]
     assert [deleted[10 + i] for i in range(9)] == [1, 1, 1, 1, 1, 1, 0, 0, 0]
+
+
+def test_a_passage_is_seen_in_long_texts(spark):
+    passage = sentence("shared", 60)
+    one = f"{sentence('a', 9000)} {passage} {sentence('b', 9000)}"
+    two = f"{sentence('c', 3000)} {passage} {sentence('d', 14000)}"
+    torn = f"{sentence('c', 3000)} {' '.join(f'{w} x{i}' for i, w in enumerate(passage.split()))}"
+    twice = f"{passage} {sentence('e', 100)} {passage}"
+    frame = spark.createDataFrame([(one, two, torn, passage, twice)], "a string, b string, c string, d string, e string")
+    a, b, c, d, e = (syncmers.sketch(F.col(x)) for x in "abcde")
+    row = frame.select(
+        syncmers.matches(syncmers.steps(a), syncmers.steps(b)).alias("passage"),
+        syncmers.matches(syncmers.steps(a), syncmers.steps(c)).alias("torn"),
+        syncmers.matches(syncmers.steps(d), syncmers.steps(e)).alias("twice"),
+        F.size(syncmers.anchors(F.col("d"))).alias("anchors"),
+        F.size(a).alias("kept"),
+        F.size(syncmers.anchors(F.col("a"))).alias("all"),
+        syncmers.likeness(a, b).alias("near"),
+        syncmers.likeness(a, a).alias("same"),
+        syncmers.as_text(a).alias("fingerprint"),
+        syncmers.anchors(F.col("a")).alias("list"),
+    ).first()
+    assert row["kept"] == row["all"] > 5000
+    assert row["passage"] == row["twice"] == row["anchors"] - 1 > 10 and row["torn"] == 0
+    assert row["near"] > 0 and row["same"] == 1
+    pairs = [row["fingerprint"][i : i + 16] for i in range(0, len(row["fingerprint"]), 16)]
+    assert [(int(x[:8], 16), x[8:]) for x in pairs] == [
+        (x["pos"], f"{(x['hash'] % 2**64) >> 32:08x}") for x in row["list"]
+    ]
+
+
+def test_half_edited_texts_without_blanks_or_with_few_words(spark):
+    han = "".join(chr(0x4E00 + 37 * i % 5000) for i in range(120))
+    texts = [han, sentence("w", 60), "internationalization considerations", "a b c d e f g h i j k l m n o p q r s t u v w x y z"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in syncmers.fingerprints(docs).collect()}
+    for r in got.values():
+        assert 0.15 < r.near_edited < 0.9 and r.fingerprint
+        assert r.near_next < 0.1
