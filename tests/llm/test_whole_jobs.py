@@ -2,9 +2,10 @@
 
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
-from faultline.llm import curriculum, line_runs, near_dups, surrogates, syncmers
+from faultline.llm import curriculum, line_runs, main_text, near_dups, surrogates, syncmers
 
 DOCS = "doc_id long, text string, source string"
 
@@ -139,3 +140,25 @@ def test_half_edited_texts_without_blanks_or_with_few_words(spark):
     for r in got.values():
         assert 0.15 < r.near_edited < 0.9 and r.fingerprint
         assert r.near_next < 0.1
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        ("<p class='ad'>buy<p>one<p>two", "one\ntwo"),
+        ("<ul><li class=share>share<li>one</ul><p>two", "one\ntwo"),
+        ("<div><p class=ad>buy</div>one", "one"),
+        ("<table><tr><td class=ad>buy<td>one<tr><td>two</table>", "one\ntwo"),
+        ("<div class=ad>buy <div>now</div><p>a<ul><li>b</ul>more</div><p>one", "one"),
+        ("<p>one <span class=ad>buy</span> two", "one two"),
+        ("<p>one<aside><p>more<ul><li>a<li>b</ul></aside><p>two", "one\ntwo"),
+        ("<h2 id='related-work'>one</h2><section id='social-impact'><p>two</section>", "one\ntwo"),
+        ("<div class='has-sidebar no-comments'>one</div>", "one"),
+        ("<p title='a hidden class=ad thing'>one</p><p title=\"x\" hidden>no</p>", "one"),
+        ("<a class=share href=/x/>no</a><p>one", "one"),
+        ("<div class='cookie-notice'>no</div><div id='comment-12'>no</div><div class='comments__list'>no</div><p>one", "one"),
+    ],
+)
+def test_main_text_behind_marked_elements(page, want):
+    assert main_text.main_text(f"<body><p>out</p><article>{page}</article><p>out</p>") == want
+    assert main_text.main_text("<head><title>T</title><body><article class='no-comments'>one") == "one"
