@@ -23,6 +23,7 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Callable, Iterable, Iterator
+from itertools import count
 
 import numpy as np
 import pandas as pd
@@ -36,7 +37,8 @@ ship(__name__)
 MAGIC = b"PAIRGRM1"
 END_ID = 1
 BLOCK_IDS = 1 << 20
-ROUNDS = 6
+#: Rounds of a block; None: until no pair reaches the least count.
+ROUNDS = None
 RULES_PER_ROUND = 1024
 LEAST_COUNT = 32
 #: Words whose ids a Python worker remembers from task to task (about 200 bytes each).
@@ -55,20 +57,21 @@ BLOCKS = (
 
 
 def compress(
-    ids: np.ndarray, end_id: int = END_ID, rounds: int = ROUNDS
+    ids: np.ndarray, end_id: int = END_ID, rounds: int | None = ROUNDS
 ) -> tuple[np.ndarray, np.ndarray, int]:
     """(symbols, rules as rows of two symbols, base) of one block.
 
     Each round counts the pairs, makes rules of the most frequent ones that
     occur at least LEAST_COUNT times and replaces their occurrences from left
-    to right. Pairs that overlap wait for the next round.
+    to right. Pairs that overlap wait for the next round. It ends when no pair
+    occurs so often, or after ``rounds``.
     """
     symbols = ids.astype(np.uint32)
     base = int(symbols.max()) + 1 if len(symbols) else 0
     rules: list[np.ndarray] = []
     made = 0
-    for turn in range(rounds):
-        if len(symbols) < 2 * LEAST_COUNT:
+    for turn in count() if rounds is None else range(rounds):
+        if len(symbols) <= LEAST_COUNT:
             break
         left, right = symbols[:-1], symbols[1:]
         # pairs are counted by slot; in each slot one pair stands for it, and
@@ -93,8 +96,15 @@ def compress(
         order = np.flatnonzero(n >= LEAST_COUNT)
         order = order[np.argsort(-n[order], kind="stable")][:RULES_PER_ROUND]
         if not len(order):
-            break
-        number = np.full(1 << SLOT_BITS, -1, np.int64)
+            # no pair that stands for its slot; the others are counted one by one
+            at = np.flatnonzero(left != end_id)
+            keys = (left[at].astype(np.uint64) << np.uint64(32)) | right[at]
+            pair_of, place, n = np.unique(keys, return_inverse=True, return_counts=True)
+            order = np.flatnonzero(n >= LEAST_COUNT)
+            order = order[np.argsort(-n[order], kind="stable")][:RULES_PER_ROUND]
+            if not len(order):
+                break
+        number = np.full(len(pair_of), -1, np.int64)
         number[order] = np.arange(len(order))
         rule = number[place]
         at, rule = at[rule >= 0], rule[rule >= 0]
@@ -148,7 +158,7 @@ def expand(symbols: np.ndarray, rules: np.ndarray, lengths: np.ndarray, base: in
     return out
 
 
-def pack(ids: np.ndarray, sizes: list[int], end_id: int = END_ID, rounds: int = ROUNDS) -> bytes:
+def pack(ids: np.ndarray, sizes: list[int], end_id: int = END_ID, rounds: int | None = ROUNDS) -> bytes:
     """The payload of documents with ``sizes`` ids each, ``ids`` in a row."""
     symbols, rules, base = compress(ids, end_id, rounds)
     lengths = expansion_lengths(rules, base)
@@ -256,7 +266,7 @@ def encoder(tokenizer_file: str) -> Callable[[list[str]], list[bytes]]:
 
 
 def blocks_of(
-    parts: Iterable[pd.DataFrame], ids_of_word: WordIds, end_id: int, block_ids: int, rounds: int
+    parts: Iterable[pd.DataFrame], ids_of_word: WordIds, end_id: int, block_ids: int, rounds: int | None
 ) -> Iterator[pd.DataFrame]:
     """Rows of BLOCKS for the documents of one shard, in their order."""
     end = np.array([end_id], "<u4").tobytes()
@@ -302,7 +312,7 @@ def write_token_files(
     tokenizer_file: str,
     end_id: int = END_ID,
     block_ids: int = BLOCK_IDS,
-    rounds: int = ROUNDS,
+    rounds: int | None = ROUNDS,
 ) -> None:
     """Encode ``text`` of every document and write the blocks below ``path``.
 

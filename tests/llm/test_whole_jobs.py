@@ -2,10 +2,11 @@
 
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from faultline.llm import curriculum, line_runs, main_text, near_dups, surrogates, syncmers
+from faultline.llm import curriculum, grammar_tokens, line_runs, main_text, near_dups, surrogates, syncmers
 
 DOCS = "doc_id long, text string, source string"
 
@@ -162,3 +163,17 @@ def test_half_edited_texts_without_blanks_or_with_few_words(spark):
 def test_main_text_behind_marked_elements(page, want):
     assert main_text.main_text(f"<body><p>out</p><article>{page}</article><p>out</p>") == want
     assert main_text.main_text("<head><title>T</title><body><article class='no-comments'>one") == "one"
+
+
+def test_no_frequent_pair_stays_in_a_block():
+    rng = np.random.default_rng(4)
+    passage = rng.integers(2, 40_000, 700)
+    parts = [x for _ in range(60) for x in (passage, rng.integers(2, 900, 300), [grammar_tokens.END_ID])]
+    ids = np.concatenate(parts).astype(np.uint32)
+    symbols, rules, base = grammar_tokens.compress(ids)
+    keys = (symbols[:-1].astype(np.uint64) << np.uint64(32)) | symbols[1:]
+    n = np.unique(keys[symbols[:-1] != grammar_tokens.END_ID], return_counts=True)[1]
+    assert n.max() < grammar_tokens.LEAST_COUNT
+    lengths = grammar_tokens.expansion_lengths(rules, base)
+    assert lengths.max() > 64
+    assert (grammar_tokens.expand(symbols, rules, lengths, base) == ids).all()
