@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from faultline.functions.numeric import nan_to_null
-from faultline.operators.ranking import flag_alerts, global_rank
+from faultline.operators.ranking import flag_alerts, flag_first, global_rank, top_k_ranked
 
 # Identifier columns and the leading columns of the alert table.
 ID_COLUMNS = ["udi", "product_id"]
@@ -29,6 +29,22 @@ def rank_and_flag(df: DataFrame, k: int, key: str = "udi", score: str = "p_failu
     return leading_columns(flag_alerts(global_rank(df, score, key), score, k))
 
 
+def flag_only(df: DataFrame, k: int, key: str = "udi", score: str = "p_failure") -> DataFrame:
+    """Flag exactly the top k without ranking the rest; row-local given the k-th row.
+
+    Enough for totals and filters: ``scoring_summary`` and
+    ``filter_scored(alerts_only=True)`` need no rank.
+    """
+    return flag_first(df, score, key, k)
+
+
+def ranked_alerts(df: DataFrame, k: int, key: str = "udi", score: str = "p_failure") -> DataFrame:
+    """The alert rows of ``rank_and_flag`` and only they: the k-th row cuts them
+    off first, so no more than k rows are sorted."""
+    scored = df.filter(nan_to_null(score).isNotNull())
+    return leading_columns(flag_alerts(top_k_ranked(scored, score, key, k), score, k))
+
+
 def filter_scored(
     df: DataFrame,
     min_score: float | None = None,

@@ -1,68 +1,124 @@
 """Exact threshold curves and the areas under them.
 
 Rows are first combined per distinct score, so the map side shrinks a score
-held by a third of all rows to one row per task. The distinct scores are then
-laid out in order (see ``ranking``): sums of earlier slices plus a running sum
-inside the slice give the cumulative counts. Rows with a missing score form the
-last group: below every threshold, still counted in the totals.
+held by a third of all rows to one row per task. The distinct scores are sorted
+by range, and running sums are taken inside the sorted partitions as they are
+written; each partition adds one row of totals in a file of its own. The curve
+is then a scan that adds the totals of earlier partitions: it moves no score again.
+Rows with a missing score form the last group: below every threshold, still
+counted in the totals.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
+from pyspark import TaskContext
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import DataFrame, Window, functions as F
 
 from faultline.functions.numeric import nan_to_null, ratio
-from faultline.operators.ranking import SLICE, laid_out
+from faultline.operators.ranking import SLICE
 from faultline.storage import materialize
 
+TOTAL = "_total"
 
-def cumulative_counts(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> DataFrame:
-    """Per distinct score: positives and rows here (``pos``, ``rows``), at or
-    above (``tp``, ``selected``), and in total (``positives``, ``total``)."""
+
+def running_sums(sorted_counts: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Adds to rows in global order their slice and the sums of ``pos`` and
+    ``rows`` up to them within (group, slice). A further row with ``TOTAL`` for
+    each (group, slice) holds its sums and its lowest score."""
+    by = list(by)
+
+    def add(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        slice_ = TaskContext.get().partitionId()
+        # group, rows in it so far as (pos, rows), lowest score
+        group, so_far, lowest = None, (0, 0), None
+
+        def total() -> pd.DataFrame:
+            values = [*group, lowest, *so_far, *so_far, slice_, True]
+            return pd.DataFrame([values], columns=names)
+
+        names = [*by, "score", "pos", "rows", "_run_pos", "_run_rows", SLICE, TOTAL]
+        for part in parts:
+            # groups are neighbours: a batch holds the rest of one and some whole ones
+            pieces = part.groupby(by, sort=False, dropna=False) if by else [((), part)]
+            for key, piece in pieces:
+                key = tuple(None if pd.isna(v) else v for v in key)
+                if key != group:
+                    if group is not None:
+                        yield total()
+                    group, so_far, lowest = key, (0, 0), None
+                piece = piece.assign(
+                    _run_pos=piece["pos"].cumsum() + so_far[0],
+                    _run_rows=piece["rows"].cumsum() + so_far[1],
+                )
+                so_far = (int(piece["_run_pos"].iloc[-1]), int(piece["_run_rows"].iloc[-1]))
+                known = piece["score"].dropna()
+                lowest = float(known.iloc[-1]) if len(known) else lowest
+                yield piece.assign(**{SLICE: slice_, TOTAL: False})[names]
+        if group is not None:
+            yield total()
+
+    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in sorted_counts.schema]
+    added = f"_run_pos long, _run_rows long, {SLICE} int, {TOTAL} boolean"
+    return sorted_counts.mapInPandas(add, f"{', '.join(kinds)}, {added}")
+
+
+def laid_counts(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> DataFrame:
+    """``cumulative_counts`` with the lowest score of the group in ``lowest``."""
     by = list(by)
     grouped = (
-        df.select(*by, nan_to_null(score).alias("score"), F.col(label).cast("bigint").alias("_y"))
+        df.select(
+            *by,
+            nan_to_null(score).cast("double").alias("score"),
+            F.col(label).cast("bigint").alias("_y"),
+        )
         .groupBy(*by, "score")
-        .agg(F.sum("_y").alias("pos"), F.count("*").alias("rows"))
+        .agg(F.coalesce(F.sum("_y"), F.lit(0)).alias("pos"), F.count("*").alias("rows"))
     )
     order = [*[F.asc(name) for name in by], F.desc_nulls_last("score")]
-    laid = laid_out(grouped, order, "curve")
+    laid = materialize(running_sums(grouped.orderBy(*order), by), "curve", apart=TOTAL)
 
     # one row per (group, slice): as many as sort partitions plus groups
-    slices = laid.groupBy(*by, SLICE).agg(
-        F.sum("pos").alias("_pos"), F.sum("rows").alias("_rows")
-    )
     group = Window.partitionBy(*by)
     earlier = group.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = slices.select(
-        *by,
-        SLICE,
-        F.coalesce(F.sum("_pos").over(earlier), F.lit(0)).alias("_pos_before"),
-        F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_rows_before"),
-        F.sum("_pos").over(group).alias("positives"),
-        F.sum("_rows").over(group).alias("total"),
+    offsets = laid.filter(TOTAL).select(
+        *[F.col(name).alias(f"_of_{name}") for name in by],
+        F.col(SLICE).alias("_of_slice"),
+        F.coalesce(F.sum("pos").over(earlier), F.lit(0)).alias("_pos_before"),
+        F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("_rows_before"),
+        F.sum("pos").over(group).alias("positives"),
+        F.sum("rows").over(group).alias("total"),
+        F.min("score").over(group).alias("lowest"),
     )
-    inside = (
-        Window.partitionBy(*by, SLICE)
-        .orderBy(F.desc_nulls_last("score"))
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    # no broadcast hint: the window needs this partitioning of the rows anyway
+    same = F.col(SLICE) == F.col("_of_slice")
+    for name in by:
+        same &= F.col(name).eqNullSafe(F.col(f"_of_{name}"))
     return (
-        laid.join(offsets, [*by, SLICE])
-        .withColumns(
-            {
-                "tp": F.sum("pos").over(inside) + F.col("_pos_before"),
-                "selected": F.sum("rows").over(inside) + F.col("_rows_before"),
-            }
+        laid.filter(~F.col(TOTAL))
+        .join(F.broadcast(offsets), same)
+        .select(
+            *by,
+            "score",
+            "pos",
+            "rows",
+            (F.col("_run_pos") + F.col("_pos_before")).alias("tp"),
+            (F.col("_run_rows") + F.col("_rows_before")).alias("selected"),
+            "positives",
+            "total",
+            "lowest",
         )
-        .select(*by, "score", "pos", "rows", "tp", "selected", "positives", "total")
     )
 
 
+def cumulative_counts(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> DataFrame:
+    """Per distinct score: positives and rows here (``pos``, ``rows``), at or
+    above (``tp``, ``selected``), and in total (``positives``, ``total``)."""
+    return laid_counts(df, score, label, by).drop("lowest")
+
+
 def roc_auc_of(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Mann-Whitney area, ties counted half; null when a class is missing."""
     negatives = (F.col("rows") - F.col("pos")).cast("double")
@@ -105,12 +161,15 @@ def pr_curve(df: DataFrame, score: str, label: str) -> DataFrame:
     return pr_curve_of(cumulative_counts(df, score, label))
 
 
-def f1_curve(df: DataFrame, score: str, label: str) -> DataFrame:
-    """``pr_curve`` with F1; its denominator carries a fixed 1e-12 guard."""
+def with_f1(curve: DataFrame) -> DataFrame:
+    """F1 of precision and recall; its denominator carries a fixed 1e-12 guard."""
     p, r = F.col("precision"), F.col("recall")
-    return pr_curve(df, score, label).withColumn(
-        "f1", F.lit(2.0) * (p * r) / (p + r + F.lit(1e-12))
-    )
+    return curve.withColumn("f1", F.lit(2.0) * (p * r) / (p + r + F.lit(1e-12)))
+
+
+def f1_curve(df: DataFrame, score: str, label: str) -> DataFrame:
+    """``pr_curve`` with F1."""
+    return with_f1(pr_curve(df, score, label))
 
 
 def best_f1_threshold(
@@ -121,20 +180,19 @@ def best_f1_threshold(
     ``reference_offset`` reproduces the recorded off-by-one: the lowest
     threshold is no candidate and the next lower distinct score is returned.
     """
-    curve = f1_curve(df, score, label)
+    counts = laid_counts(df, score, label)
+    curve = with_f1(pr_curve_of(counts))
     if not reference_offset:
         return curve.orderBy(F.desc("f1"), F.asc("threshold")).limit(1)
-    curve = materialize(curve, "f1-curve")  # read three times below
-    lowest = curve.agg(F.min("threshold")).scalar()
+    # the written curve is read twice: for the best candidate, for the next lower score
     best = (
-        curve.filter(F.col("threshold") > lowest)
-        .orderBy(F.desc("f1"), F.asc("threshold"))
-        .limit(1)
-        .agg(F.max("threshold"))
+        with_f1(pr_curve_of(counts.filter(F.col("score") > F.col("lowest"))))
+        .agg(F.max(F.struct("f1", (-F.col("threshold")).alias("fall"))).alias("best"))
+        .select(-F.col("best.fall"))
         .scalar()
     )
     # a single distinct score leaves no candidate: that score is the answer
-    chosen = curve.filter(best.isNull() | (F.col("threshold") < best))
+    chosen = curve.filter(F.coalesce(F.col("threshold") < best, F.lit(True)))
     return chosen.orderBy(F.desc("threshold")).limit(1)
 
 

@@ -15,6 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from faultline.functions.numeric import nan_to_null
+from faultline.operators.selection import selected
 from faultline.storage import materialize
 
 SLICE, POSITION = "_slice", "_position"
@@ -64,7 +65,10 @@ def global_rank(df: DataFrame, score: str, key: str, out: str = "rank") -> DataF
 
 
 def top_k(df: DataFrame, score: str, key: str, k: int) -> DataFrame:
-    """The k rows with the highest score, ties by lowest key, in that order."""
+    """The k rows with the highest score, ties by lowest key, in that order.
+
+    Rows without a score follow only where fewer than k have one.
+    """
     if k <= HEAD_LIMIT:
         return df.orderBy(*score_order(score, key)).limit(k)
     return top_k_ranked(df, score, key, k, "_rank").drop("_rank")
@@ -78,7 +82,21 @@ def top_k_ranked(df: DataFrame, score: str, key: str, k: int, out: str = "rank")
         return head.withColumn(
             out, F.row_number().over(Window.orderBy(*score_order(score, key))).cast("bigint")
         )
-    return in_rank_order(global_rank(df, score, key, out).filter(F.col(out) <= k), out)
+    first = first_rows(df, score, key, k)
+    return in_rank_order(global_rank(first, score, key, out).filter(F.col(out) <= k), out)
+
+
+def first_rows(df: DataFrame, score: str, key: str, k: int) -> DataFrame:
+    """The rows that can have a rank up to k: only they have to be sorted."""
+    if df.filter(nan_to_null(score).isNotNull()).count() < k:
+        return df
+    return df.filter(selected(df, score, key, k, HEAD_LIMIT))
+
+
+def flag_first(df: DataFrame, score: str, key: str, k: int) -> DataFrame:
+    """``flag_alerts`` for rows without a rank: each is compared with the k-th
+    row, nothing is sorted. The key must be unique for exactly k alerts."""
+    return df.withColumn("alert_topk", selected(df, score, key, k, HEAD_LIMIT))
 
 
 def flag_alerts(df: DataFrame, score: str, k: int, rank: str = "rank") -> DataFrame:

@@ -51,11 +51,15 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{application_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once and return a frame that reads the written rows."""
+def materialize(df: DataFrame, label: str, apart: str | None = None) -> DataFrame:
+    """Write ``df`` once and return a frame that reads the written rows.
+
+    Rows of different values of the column ``apart`` go to different files, so a
+    filter on it leaves the others unread.
+    """
     spark = df.sparkSession
     path = new_path(spark, label)
-    df.write.parquet(path)
+    (df.write.partitionBy(apart) if apart else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -216,14 +216,18 @@ def score_rank_alerts(spark, sf_dir):
     return ranking.in_rank_order(alert_table(spark, sf_dir))
 
 
+def unranked(spark, sf_dir):
+    return features.engineered(views.labelled(spark, sf_dir))
+
+
 @query
 def alerts_preview(spark, sf_dir):
-    return alerts.alerts_preview(alert_table(spark, sf_dir))
+    return alerts.alerts_preview(alerts.ranked_alerts(unranked(spark, sf_dir), 50))
 
 
 @query
 def scoring_summary(spark, sf_dir):
-    return alerts.scoring_summary(alert_table(spark, sf_dir))
+    return alerts.scoring_summary(alerts.flag_only(unranked(spark, sf_dir), 50))
 
 
 @query
@@ -245,7 +249,8 @@ def filter_scored(spark, sf_dir):
 
 @query
 def filter_alerts_only(spark, sf_dir):
-    kept = alerts.filter_scored(alert_table(spark, sf_dir), min_score=0.9, alerts_only=True)
+    first = alerts.ranked_alerts(unranked(spark, sf_dir), 50)
+    kept = alerts.filter_scored(first, min_score=0.9, alerts_only=True)
     return kept.select(KEY, "type", "p_failure", "rank", "alert_topk")
 
 

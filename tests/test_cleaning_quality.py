@@ -42,7 +42,7 @@ def test_malformed_fields_become_null_and_are_reported(spark):
     assert dict(typed.dtypes) == dict(COLUMNS)
     assert [tuple(r) for r in typed.collect()] == [(1, 2.5, "L"), (None, None, None), (None, None, "M")]
     losses = cleaning.cast_losses(df, COLUMNS)
-    assert {r["column"]: r["lost"] for r in losses.collect()} == {"udi": 1, "torque_nm": 1, "type": 0}
+    assert {r["column"]: r["lost"] for r in losses.collect()} == {"udi": 1, "torque_nm": 2, "type": 0}
     warned = quality.enforce(quality.cast_loss_report(losses))
     assert {r["column"] for r in warned} == {"udi", "torque_nm"}
 

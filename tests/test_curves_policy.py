@@ -74,6 +74,52 @@ def test_grouped_counts_equal_separate_ones(spark):
         assert r["average_precision"] == pytest.approx(brute_ap(parts[r["g"]]), abs=1e-12)
 
 
+def exchanges(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("Exchange") - plan.count("BroadcastExchange")
+
+
+def test_the_written_curve_is_scanned_without_moving_scores(spark):
+    df = frame(spark, sample(300))
+    counts = curves.laid_counts(df, "s", "y")
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    # the only exchange gathers the totals, a row for each sort partition
+    assert exchanges(counts) == 1 and "SinglePartition" in plan
+    assert "PartitionFilters: [isnotnull(_total" in plan
+    best = curves.best_f1_threshold(df, "s", "y", reference_offset=True)
+    plan = best._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("_run_pos") > 0 and plan.count("NOT _total") == 2
+
+
+def test_groups_that_span_slices_and_batches(spark):
+    """Null groups, one group with most rows, batches smaller than a group."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        rows = [(None if i % 9 == 0 else "a" if i % 9 < 7 else "b", i, (i % 500) / 500, int(i % 3 == 0)) for i in range(2000)]
+        rows += [("c", 5000, None, 1), ("c", 5001, float("nan"), 0), ("d", 5002, 0.5, None)]
+        df = spark.createDataFrame(rows, "g string, udi long, s double, y int").repartition(3)
+        got = {(r["g"], r["score"]): r for r in curves.laid_counts(df, "s", "y", ["g"]).collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(got) == len({(g, s if s == s else None) for g, _, s, _ in rows})
+    for (g, s), r in got.items():
+        mine = [(v if v is not None and v == v else None, y or 0) for h, _, v, y in rows if h == g]
+        over = [y for v, y in mine if s is None or (v is not None and v >= s)]
+        here = [y for v, y in mine if v == s]
+        assert (r["pos"], r["rows"], r["tp"], r["selected"]) == (sum(here), len(here), sum(over), len(over))
+        assert (r["positives"], r["total"]) == (sum(y for _, y in mine), len(mine))
+        assert r["lowest"] == min((v for v, _ in mine if v is not None), default=None)
+
+
+def test_empty_curve(spark):
+    df = frame(spark, [])
+    assert curves.pr_curve(df, "s", "y").count() == 0
+    assert curves.roc_auc(df, "s", "y").first()[0] is None
+    assert curves.best_f1_threshold(df, "s", "y", reference_offset=True).count() == 0
+
+
 def test_single_class(spark):
     df = frame(spark, [(1, 0.1, 0), (2, 0.2, 0)])
     assert curves.roc_auc(df, "s", "y").first()[0] is None
