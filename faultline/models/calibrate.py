@@ -7,10 +7,11 @@ score is the mean over folds. The result is one ordinary ``PipelineModel``.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from multiprocessing.pool import ThreadPool
 
-from pyspark import inheritable_thread_target
+import pandas as pd
+from pyspark import TaskContext, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import SQLTransformer
 from pyspark.ml.functions import vector_to_array
@@ -25,22 +26,81 @@ from faultline.models.features import (
 )
 from faultline.models.train import SEED, boosting, spread
 from faultline.operators.splitting import stratified_folds
-from faultline.storage import enable_checkpoints
+from faultline.functions.numeric import nan_to_null
+from faultline.storage import enable_checkpoints, materialize
 
 FOLDS = 3
 
+#: Neighbouring slices whose blocks one task merges.
+FAN = 8
+
+BLOCK = ["first", "last", "total", "weight"]
+
+
+def pool(blocks: Iterable[tuple]) -> list[tuple]:
+    """Pools blocks (first, last, total, weight) in score order until their means rise.
+
+    Pooling parts first and then their blocks gives the same as pooling all at once.
+    """
+    out: list[tuple] = []
+    for block in blocks:
+        while out and out[-1][2] * block[3] >= block[2] * out[-1][3]:
+            first, _, total, weight = out.pop()
+            block = (first, block[1], total + block[2], weight + block[3])
+        out.append(block)
+    return out
+
+
+def isotonic_blocks(scored: DataFrame, score: str, label: str) -> DataFrame:
+    """Isotonic regression of label on score: (first, last, value, weight) of each
+    step, scores ascending, values strictly ascending.
+
+    Rows are combined per distinct score and sorted by range; every sorted
+    partition pools its own violators, and then neighbouring partitions merge
+    what is left, ``FAN`` at a time. Only pooled blocks move. Missing scores
+    and labels take no part.
+    """
+    value = nan_to_null(score).cast("double")
+    points = (
+        scored.select(value.alias("first"), F.col(label).cast("double").alias("_y"))
+        .filter("first is not null and _y is not null")
+        .groupBy("first")
+        .agg(F.sum("_y").alias("total"), F.count("*").cast("double").alias("weight"))
+        .select("first", F.col("first").alias("last"), "total", "weight")
+    )
+
+    def pool_slice(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        slice_ = TaskContext.get().partitionId()
+        rows = (row for part in parts for row in part[BLOCK].itertuples(index=False, name=None))
+        yield pd.DataFrame(pool(rows), columns=BLOCK).astype("float64").assign(slice=slice_)
+
+    def merge(part: pd.DataFrame) -> pd.DataFrame:
+        rows = part.sort_values("first")[BLOCK].itertuples(index=False, name=None)
+        return pd.DataFrame(pool(rows), columns=BLOCK).assign(slice=part["slice"].iloc[0] // FAN)
+
+    kind = "first double, last double, total double, weight double, slice long"
+    blocks = materialize(points.orderBy("first").mapInPandas(pool_slice, kind), "isotonic-blocks")
+    while (blocks.agg(F.max("slice")).first()[0] or 0) > 0:
+        merged = blocks.groupBy(F.floor(F.col("slice") / FAN).alias("of")).applyInPandas(merge, kind)
+        blocks = materialize(merged, "isotonic-blocks")
+    return blocks.select("first", "last", (F.col("total") / F.col("weight")).alias("value"), "weight")
+
 
 def fit_isotonic(scored: DataFrame, score: str, label: str):
-    """Isotonic curve of label on score.
+    """Isotonic curve of label on score as a Spark model.
 
-    Rows are first combined per distinct score into a mean label and a weight,
-    which leaves the solution unchanged and shrinks what the fit has to sort.
+    The model is fitted on the two ends of every pooled block, which it leaves
+    as they are: the driver sees nothing but final blocks.
     """
-    points = scored.groupBy(score).agg(
-        F.avg(F.col(label).cast("double")).alias("_mean"),
-        F.count("*").cast("double").alias("_weight"),
+    blocks = isotonic_blocks(scored, score, label)
+    wide = F.col("first") < F.col("last")
+    ends = F.when(wide, F.array("first", "last")).otherwise(F.array("first"))
+    points = blocks.select(
+        F.explode(ends).alias(score),
+        "value",
+        F.when(wide, F.col("weight") / 2).otherwise(F.col("weight")).alias("_weight"),
     )
-    learner = IsotonicRegression(featuresCol=score, labelCol="_mean", weightCol="_weight")
+    learner = IsotonicRegression(featuresCol=score, labelCol="value", weightCol="_weight")
     return learner.fit(points)
 
 

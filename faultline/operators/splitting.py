@@ -6,12 +6,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from faultline.functions.hashing import hash_below, key_hash
+from faultline.functions.hashing import HEX_DIGITS, hash_below, key_hash
 from faultline.storage import materialize
 
-# hex digits that name a histogram bucket: 65536 buckets
+# hex digits by which a bucket is divided: into 65536 buckets
 BUCKET_DIGITS = 4
 
+# rows of a bucket that one task may order
+FEW = 100_000
+
 
 def hash_split(
     df: DataFrame, key: str, test_fraction: float = 0.2, seed: int = 42, out: str = "is_test"
@@ -20,40 +23,23 @@ def hash_split(
     return df.withColumn(out, hash_below(key, seed, test_fraction))
 
 
-def stratified_parts(
-    df: DataFrame,
-    label: str,
-    key: str,
-    fractions: Sequence[float],
-    seed: int = 42,
-    out: str = "part",
-) -> DataFrame:
-    """Split every class into consecutive parts with exact quotas.
+def cut_buckets(hashed: DataFrame, cumulative: Sequence[float]) -> tuple[DataFrame, int]:
+    """The bucket that holds each cut of each class, and the digits that name it.
 
-    Within a class, rows are ordered by ``(hash(seed:key), key)``. Part i ends
-    at row round(n_class * cumulative fraction i). Only the cut rows are
-    searched, not the whole order: a histogram over hash prefixes finds the
-    bucket holding each cut, and the rows of those buckets alone (about
-    n_class / 65536 each, the hash being uniform) are ordered. The data is
-    scanned three times and never shuffled, however unequal the classes are.
-    Rows that share a key always share a part.
+    Rows (_y, _cut, _bucket, _need, _n): the cut is the ``_need``-th of the
+    bucket's ``_n`` rows; a cut in front of all rows has ``_need`` 0.
     """
-    cumulative, total = [], 0.0
-    for fraction in fractions:
-        total += fraction
-        cumulative.append(total)
-    hashed = df.select(
-        F.col(label).alias("_y"), F.col(key).alias("_key"), key_hash(key, seed).alias("_hash")
-    )
-    hashed = hashed.withColumn("_bucket", F.substring("_hash", 1, BUCKET_DIGITS))
-
+    digits = BUCKET_DIGITS
     # at most classes x 65536 rows
-    sizes = hashed.groupBy("_y", "_bucket").agg(F.count("*").alias("_n"))
+    sizes = hashed.groupBy("_y", F.substring("_hash", 1, digits).alias("_bucket")).agg(
+        F.count("*").alias("_n")
+    )
     of_class = Window.partitionBy("_y")
     upto = F.sum("_n").over(of_class.orderBy("_bucket"))
     sized = sizes.select(
         "_y",
         "_bucket",
+        "_n",
         (upto - F.col("_n")).alias("_before"),
         upto.alias("_upto"),
         F.sum("_n").over(of_class).alias("_class_rows"),
@@ -70,10 +56,70 @@ def stratified_parts(
     holds_cut = (F.col("_before") < quota) & (quota <= F.col("_upto"))
     empty_part = (quota == 0) & (F.col("_before") == 0)
     edges = sized.filter(holds_cut | empty_part).select(
-        "_y", "_cut", "_bucket", (quota - F.col("_before")).alias("_need")
+        "_y", "_cut", "_bucket", (quota - F.col("_before")).alias("_need"), "_n"
     )
-    # one row per class and cut; written, so the joins below know its real size
+    # one row per class and cut; written, so the joins with it know its real size
     edges = materialize(edges, "split-edges")
+    while digits < HEX_DIGITS:
+        most = edges.filter("_need > 0").agg(F.max("_n")).first()[0] or 0
+        if most <= FEW:
+            break
+        divided = divided_buckets(hashed, edges.filter("_need > 0"), digits)
+        edges = materialize(divided.unionByName(edges.filter("_need = 0")), "split-edges")
+        digits += BUCKET_DIGITS
+    return edges, digits
+
+
+def divided_buckets(hashed: DataFrame, edges: DataFrame, digits: int) -> DataFrame:
+    """``edges`` with buckets of ``BUCKET_DIGITS`` more digits."""
+    inside = (
+        hashed.withColumn("_prefix", F.substring("_hash", 1, digits))
+        .alias("h")
+        .join(
+            edges.drop("_n").alias("e"),
+            F.col("h._y").eqNullSafe(F.col("e._y")) & (F.col("h._prefix") == F.col("e._bucket")),
+        )
+    )
+    sizes = inside.groupBy(
+        "e._y", "e._cut", "e._need", F.substring("h._hash", 1, digits + BUCKET_DIGITS).alias("_bucket")
+    ).agg(F.count("*").alias("_n"))
+    upto = F.sum("_n").over(Window.partitionBy("_y", "_cut").orderBy("_bucket"))
+    return (
+        sizes.withColumn("_upto", upto)
+        .filter((F.col("_upto") >= F.col("_need")) & (F.col("_upto") - F.col("_n") < F.col("_need")))
+        .select(
+            "_y", "_cut", "_bucket", (F.col("_need") - F.col("_upto") + F.col("_n")).alias("_need"), "_n"
+        )
+    )
+
+
+def stratified_parts(
+    df: DataFrame,
+    label: str,
+    key: str,
+    fractions: Sequence[float],
+    seed: int = 42,
+    out: str = "part",
+) -> DataFrame:
+    """Split every class into consecutive parts with exact quotas.
+
+    Within a class, rows are ordered by ``(hash(seed:key), key)``. Part i ends
+    at row round(n_class * cumulative fraction i). Only the cut rows are
+    searched, not the whole order: a histogram over hash prefixes finds the
+    bucket holding each cut, further digits divide it until it has at most
+    ``FEW`` rows, and those alone are ordered. The data is never shuffled,
+    however unequal the classes are; each division is a scan of label and key.
+    Rows that share a key always share a part.
+    """
+    cumulative, total = [], 0.0
+    for fraction in fractions:
+        total += fraction
+        cumulative.append(total)
+    hashed = df.select(
+        F.col(label).alias("_y"), F.col(key).alias("_key"), key_hash(key, seed).alias("_hash")
+    )
+    edges, digits = cut_buckets(hashed, cumulative)
+    hashed = hashed.withColumn("_bucket", F.substring("_hash", 1, digits))
 
     reached = F.sum("_n").over(Window.partitionBy("_y", "_cut").orderBy("_hash", "_key"))
     at_cut = (

@@ -267,6 +267,22 @@ add(
     PR,
 )
 
+add(
+    "isotonic_curve",
+    """select min(x) as first, max(x) as last, value, cast(sum(w) as double) as weight
+    from (select b as i, max(low) as value
+      from (select a.i as a, b.i as b,
+          min((b.ty - a.ty + a.y)::double / (b.tw - a.tw + a.w)::double)
+            over (partition by a.i order by b.i desc) as low
+        from points a join points b on a.i <= b.i)
+      group by b) steps join points using (i)
+    group by value""",
+    SCORED,
+    """points as (
+  select *, row_number() over (order by x) as i, sum(y) over (order by x) as ty, sum(w) over (order by x) as tw
+  from (select prob_failure as x, sum(machine_failure) as y, count(*) as w from scored group by 1))""",
+)
+
 # ---- capacity policies ----
 
 

@@ -179,6 +179,11 @@ def best_f1_threshold_offset(spark, sf_dir):
     )
 
 
+@query
+def isotonic_curve(spark, sf_dir):
+    return calibrate.isotonic_blocks(views.scored(spark, sf_dir), PROB, LABEL)
+
+
 # ---- capacity policies --------------------------------------------------------
 
 

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -115,6 +117,47 @@ def test_isotonic_equals_pool_adjacent_violators(spark):
     assert got == pytest.approx([0.0, 0.0, 0.5, 0.5, 1.0, 1.0])
 
 
+def pooled_brute(rows):
+    """Step values by the largest mean that starts early and the least that ends late."""
+    scores = sorted({s for s, _ in rows})
+    sums = [(sum(y for v, y in rows if v == s), sum(v == s for v, _ in rows)) for s in scores]
+    out = {}
+    for i, s in enumerate(scores):
+        mean = lambda a, b: sum(t for t, _ in sums[a : b + 1]) / sum(w for _, w in sums[a : b + 1])
+        out[s] = max(min(mean(a, b) for b in range(i, len(scores))) for a in range(i + 1))
+    return out
+
+
+def test_isotonic_blocks_over_many_slices(spark, monkeypatch):
+    monkeypatch.setattr(calibrate, "FAN", 2)
+    rng = random.Random(8)
+    rows = [(round(rng.random(), 2), int(rng.random() < 0.3)) for _ in range(400)]
+    rows += [(0.5, i % 2) for i in range(200)] + [(0.97, 0)] * 30
+    want = pooled_brute(rows)
+    odd = [(None, 1), (float("nan"), 1), (0.2, None)]
+    df = spark.createDataFrame(rows + odd, "s double, y int").repartition(7)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        blocks = calibrate.isotonic_blocks(df, "s", "y").orderBy("first").collect()
+        curve = calibrate.fit_isotonic(df, "s", "y")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    values = [b["value"] for b in blocks]
+    assert values == sorted(set(values)) and sum(b["weight"] for b in blocks) == len(rows)
+    for s, v in want.items():
+        (block,) = [b for b in blocks if b["first"] <= s <= b["last"]]
+        assert block["value"] == pytest.approx(v, abs=1e-12)
+    points = spark.createDataFrame([(s,) for s in want], "s double")
+    for r in curve.transform(points).collect():
+        assert r["prediction"] == pytest.approx(want[r["s"]], abs=1e-12)
+    # the model holds two ends of each block at most
+    assert curve.boundaries.size <= 2 * len(blocks)
+
+
+def test_isotonic_blocks_of_nothing(spark):
+    assert calibrate.isotonic_blocks(spark.createDataFrame([], "s double, y int"), "s", "y").count() == 0
+
+
 def test_unknown_category_encodes_as_zeros(raw):
     fitted, vectors = features.feature_vectors(features.engineered(raw))
     odd = features.engineered(raw).limit(2).withColumn("type", F.when(F.col(KEY) == -1, "Z"))

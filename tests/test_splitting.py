@@ -33,6 +33,33 @@ def test_stratified_split_equals_brute_force(spark, layout):
     assert got == {i: part == 0 for i, part in expected.items()}
 
 
+def test_a_class_of_all_rows_is_cut_in_small_buckets(spark, monkeypatch):
+    """Digits divide the bucket of a cut until few rows are left to order."""
+    monkeypatch.setattr(splitting, "BUCKET_DIGITS", 1)
+    monkeypatch.setattr(splitting, "FEW", 6)
+    data = [(i, 0) for i in range(3000)] + [(-1, 1), (-2, None)]
+    df = spark.createDataFrame(data, "udi long, y int").repartition(4)
+    hashed = df.select(
+        splitting.F.col("y").alias("_y"), splitting.key_hash("udi", 5).alias("_hash")
+    )
+    edges, digits = splitting.cut_buckets(hashed, [0.2, 0.7])
+    edges = edges.collect()
+    assert 2 <= digits <= 4 and len(edges) == 6
+    assert max(e["_n"] for e in edges if e["_need"]) <= 6
+    assert all(e["_need"] <= e["_n"] and len(e["_bucket"]) in (1, digits) for e in edges)
+    parts = splitting.stratified_parts(df, "y", "udi", [0.2, 0.5], 5).collect()
+    want = brute_parts(data, [0.2, 0.7], 5)
+    assert {r["udi"]: r["part"] for r in parts} == want
+
+
+def test_rows_of_one_key_cannot_be_divided(spark, monkeypatch):
+    monkeypatch.setattr(splitting, "BUCKET_DIGITS", 16)
+    monkeypatch.setattr(splitting, "FEW", 6)
+    df = spark.createDataFrame([(7, 0)] * 500 + [(8, 0)], "udi long, y int")
+    parts = splitting.stratified_split(df, "y", "udi", 0.5).collect()
+    assert len(parts) == 501 and len({(r["udi"], r["is_test"]) for r in parts}) == 2
+
+
 def test_folds_equal_brute_force(spark):
     df = spark.createDataFrame(rows(1000), "udi long, y int")
     folds = splitting.stratified_folds(df, "y", "udi", 3, seed=1)
