@@ -12,11 +12,11 @@ from pyspark.ml.classification import (
     LogisticRegression,
     RandomForestClassifier,
 )
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import AtomicType
 
 from faultline.models.features import CATEGORICAL, SAFE_NUMERIC, TARGET, feature_stages
-from faultline.storage import enable_checkpoints
+from faultline.storage import beside, delete, enable_checkpoints, publish
 
 # Default hyperparameters.
 FOREST = {"numTrees": 80, "maxDepth": 8}
@@ -113,7 +113,14 @@ def fit_logistic(
 
 
 def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
+    """Save under a staged name, then publish: a failed save leaves the old model."""
+    spark = SparkSession.active()
+    staged = beside(path)
+    try:
+        model.write().save(staged)
+        publish(spark, staged, path)
+    finally:
+        delete(spark, staged)
 
 
 def load_model(path: str) -> PipelineModel:

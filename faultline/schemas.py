@@ -133,14 +133,15 @@ EXTRACTED_FIELDS = [
     "next_maintenance_date",
 ]
 
-# Layout of the run metadata record.
+# Layout of the run metadata record, names included.
+_RATES = "precision: double, recall: double, `f1-score`: double, support: double"
 RUN_METADATA = (
     "data_path string, model_type string, calibrated boolean, policy string, "
     "topk_k int, seed int, metrics struct<pr_auc: double, roc_auc: double>, "
     "decision_report struct<k: int, cutoff_score: double, selected: bigint, "
     "num_ge_cutoff: bigint, confusion_matrix: array<array<bigint>>, "
-    "classification_report: array<struct<label: string, precision: double, "
-    "recall: double, f1_score: double, support: bigint>>>, "
+    f"classification_report: struct<`0`: struct<{_RATES}>, `1`: struct<{_RATES}>, "
+    f"accuracy: double, `macro avg`: struct<{_RATES}>, `weighted avg`: struct<{_RATES}>>>, "
     "cutoff_or_threshold double, precision_at_k double, recall_at_k double, "
     "k_sweep array<struct<k: int, precision: double, recall: double, tp: bigint, "
     "fp: bigint, fn: bigint, tn: bigint, cutoff_score: double, num_ge_cutoff: bigint>>, "

@@ -1,11 +1,17 @@
-"""Catalog tables: namespaces, overwrite, idempotent build, checked writes."""
+"""Catalog tables: namespaces, overwrite, idempotent build, checked writes.
+
+A table is replaced by writing its rows under a staged name and then giving
+that table the old one's name. The rows may therefore come from the table they replace, and a
+write that fails leaves the old table as it was.
+"""
 
 from __future__ import annotations
 
+import uuid
 import warnings
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 
 def use_namespace(spark: SparkSession, name: str, location: str | None = None) -> None:
@@ -24,11 +30,35 @@ def drop_table(spark: SparkSession, name: str) -> None:
 
 def overwrite_table(df: DataFrame, name: str, fmt: str = "parquet") -> DataFrame:
     """Replace a table, its schema included, and return the written table."""
-    writer = df.write.mode("overwrite").format(fmt)
+    spark = df.sparkSession
     if fmt == "delta":
-        writer = writer.option("overwriteSchema", "true")
-    writer.saveAsTable(name)
-    return df.sparkSession.table(name)
+        # one commit replaces a delta table, readers of the old version included
+        df.write.mode("overwrite").format(fmt).option("overwriteSchema", "true").saveAsTable(name)
+        return spark.table(name)
+    staged = f"{name}__staged_{uuid.uuid4().hex}"
+    try:
+        df.write.format(fmt).saveAsTable(staged)
+        drop_table(spark, name)
+        spark.sql(f"ALTER TABLE {staged} RENAME TO {name}")
+    finally:
+        drop_table(spark, staged)
+    spark.catalog.refreshTable(name)
+    return spark.table(name)
+
+
+def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """``df`` and an observation that counts its rows while they are written.
+
+    The frame lives in a copy of its session: a session that has observed
+    something cannot be serialised any more, and fitted models hold theirs.
+    """
+    spark = df.sparkSession
+    copy = SparkSession(spark.sparkContext, spark._jsparkSession.cloneSession())
+    rows = spark._jvm.org.apache.spark.sql.classic.Dataset.ofRows(
+        copy._jsparkSession, df._jdf.queryExecution().analyzed()
+    )
+    seen = Observation()
+    return DataFrame(rows, copy).observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
 def append_table(df: DataFrame, name: str, fmt: str = "parquet") -> DataFrame:
@@ -45,13 +75,19 @@ def write_checked(
 ) -> DataFrame:
     """Overwrite a table and compare the rows sent with the rows stored.
 
-    Pass ``expected_rows`` when the caller has counted them; otherwise the
-    input is counted, which computes it once more. (An Observation would count
-    during the write, but once a session has used one, fitted forests and
-    logistic models no longer serialise: their summaries hold the session.)
+    Without ``expected_rows`` the rows are counted on their way into the
+    table, so the input is computed once.
     """
-    expected = df.count() if expected_rows is None else expected_rows
-    written = overwrite_table(df, name, fmt)
+    spark = df.sparkSession
+    if expected_rows is None:
+        observed, seen = counted(df)
+        overwrite_table(observed, name, fmt)
+        expected = seen.get["rows"]
+        spark.catalog.refreshTable(name)
+    else:
+        expected = expected_rows
+        overwrite_table(df, name, fmt)
+    written = spark.table(name)
     stored = written.count()
     if stored != expected:
         message = f"{name}: sent {expected} rows, stored {stored}"

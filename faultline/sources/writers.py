@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from faultline.functions.numeric import vector_element
 from faultline.operators.fieldlog import valid_entries, with_defaults
 from faultline.schemas import RUN_METADATA
+from faultline.storage import beside, delete, only_part, publish
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -42,36 +43,35 @@ def export_log(log: DataFrame, path: str) -> None:
 
 
 def write_metadata(spark: SparkSession, record: dict, path: str) -> None:
-    """One run-metadata record as JSON."""
-    spark.createDataFrame([record], RUN_METADATA).coalesce(1).write.mode("overwrite").json(path)
+    """One run-metadata record as one JSON file, published when it is complete."""
+    staged = beside(path)
+    try:
+        frame = spark.createDataFrame([record], RUN_METADATA)
+        frame.coalesce(1).write.option("ignoreNullFields", False).json(staged)
+        publish(spark, only_part(spark, staged), path)
+    finally:
+        delete(spark, staged)
 
 
 def read_metadata(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(RUN_METADATA).json(path)
+    """A metadata record, its JSON on one line or on many."""
+    return spark.read.schema(RUN_METADATA).option("multiLine", True).json(path)
 
 
-def report_entries(decision: dict) -> list[dict]:
-    """Class, accuracy and average rows from a flat decision row."""
+def report_entries(decision: dict) -> dict:
+    """Report of two classes from a flat decision row: entries by name."""
     rows = decision["support_0"] + decision["support_1"]
     names = {"0": "0", "1": "1", "macro avg": "macro", "weighted avg": "weighted"}
-    entries = [
-        {
-            "label": label,
+    report = {
+        label: {
             "precision": decision[f"precision_{suffix}"],
             "recall": decision[f"recall_{suffix}"],
-            "f1_score": decision[f"f1_{suffix}"],
-            "support": decision.get(f"support_{suffix}", rows),
+            "f1-score": decision[f"f1_{suffix}"],
+            "support": float(decision.get(f"support_{suffix}", rows)),
         }
         for label, suffix in names.items()
-    ]
-    accuracy = {
-        "label": "accuracy",
-        "precision": None,
-        "recall": None,
-        "f1_score": decision["accuracy"],
-        "support": rows,
     }
-    return [*entries[:2], accuracy, *entries[2:]]
+    return report | {"accuracy": decision["accuracy"]}
 
 
 def metadata_record(

@@ -63,9 +63,49 @@ def materialize(df: DataFrame, label: str, apart: str | None = None) -> DataFram
     return spark.read.schema(df.schema).parquet(path)
 
 
+def publish(spark: SparkSession, staged: str, path: str) -> None:
+    """Give a written file or folder its final name, in place of what has it.
+
+    A file replaces a file in one step. A folder cannot replace a folder: the old one
+    goes first, and the rename is all that can be lost in between.
+    """
+    jvm = spark._jvm.org.apache.hadoop.fs
+    source, target = jvm.Path(staged), jvm.Path(path)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.exists(target) and not (files.isFile(target) and files.isFile(source)):
+        files.delete(target, True)
+    parent = target.getParent()
+    if parent is not None:
+        files.mkdirs(parent)
+    overwrite = spark.sparkContext._gateway.new_array(jvm.Options.Rename, 1)
+    overwrite[0] = jvm.Options.Rename.OVERWRITE
+    context = jvm.FileContext.getFileContext(files.getUri(), spark._jsc.hadoopConfiguration())
+    context.rename(files.makeQualified(source), files.makeQualified(target), overwrite)
+
+
+def beside(path: str) -> str:
+    """A fresh hidden name in the folder of ``path``, on the same file system."""
+    folder, _, name = path.rstrip("/").rpartition("/")
+    return f"{folder}{'/' if folder else ''}.{name}-{uuid.uuid4().hex}"
+
+
+def only_part(spark: SparkSession, folder: str) -> str:
+    """The one data file of a folder that a single task wrote."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    parts = [f.getPath().toString() for f in files.listStatus(place) if f.getPath().getName().startswith("part-")]
+    if len(parts) != 1:
+        raise ValueError(f"{folder} holds {len(parts)} data files")
+    return parts[0]
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def release(spark: SparkSession) -> None:
     """Delete every intermediate table this application has written."""
     global releases
     releases += 1
-    folder = spark._jvm.org.apache.hadoop.fs.Path(application_folder(spark))
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    delete(spark, application_folder(spark))

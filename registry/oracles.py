@@ -814,3 +814,14 @@ add(
     FIELD_LOG,
 )
 add("table_round_trip", "select * from sensors", SENSORS)
+
+add(
+    "table_legs",
+    """select leg, cast(builds as integer) as builds, cast(count(udi) * times as bigint) as rows, cast(sum(udi) * times as bigint) as udi_sum
+    from (values ('build', 1, 1, 1), ('skip', 1, 1, 1), ('rebuild', 2, 2, 1),
+      ('overwrite_itself', 2, 6, 1), ('append', 2, 6, 2), ('drop', 2, 0, 1)) t(leg, builds, every, times)
+    left join sensors on every > 0 and udi % every = 0
+    group by leg, builds, times""",
+    SCORED,
+    SENSORS,
+)

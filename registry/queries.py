@@ -550,6 +550,44 @@ def table_round_trip(spark, sf_dir):
     return tables.ensure_table(spark, f"{name}.sensors", lambda: rows)
 
 
+@query
+def table_legs(spark, sf_dir):
+    """Every way a table comes to its rows: one row for each, with the number of
+    builds so far and what the table then holds."""
+    place = new_path(spark, "legs")
+    namespace = "faultline_" + place.rsplit("-", 1)[-1]
+    current = spark.catalog.currentDatabase()
+    tables.use_namespace(spark, namespace, place)
+    spark.catalog.setCurrentDatabase(current)
+    name = f"{namespace}.sensors"
+    sensors = views.sensors(spark, sf_dir)
+    builds, legs = [], []
+
+    def build(rows):
+        return lambda: builds.append(1) or rows
+
+    def note(leg):
+        seen = (0, None)
+        if tables.table_exists(spark, name):
+            seen = spark.table(name).agg(F.count("*"), F.sum("udi")).first()
+        legs.append((leg, len(builds), *seen))
+
+    tables.ensure_table(spark, name, build(sensors))
+    note("build")
+    tables.ensure_table(spark, name, build(sensors), legs[0][2])
+    note("skip")
+    halved = sensors.filter("udi % 2 = 0")
+    tables.ensure_table(spark, name, build(halved), halved.count())
+    note("rebuild")
+    tables.write_checked(spark.table(name).filter("udi % 3 = 0").withColumn("line", F.lit("A")), name)
+    note("overwrite_itself")
+    tables.append_table(spark.table(name).withColumn("line", F.lit("B")), name)
+    note("append")
+    tables.drop_table(spark, name)
+    note("drop")
+    return spark.createDataFrame(legs, "leg string, builds int, rows long, udi_sum long")
+
+
 # ---- models: rows only --------------------------------------------------------
 
 # Fewer boosting rounds than the library default, which is the reference's 300.

@@ -82,8 +82,10 @@ def test_policy_run(spark, sf_dir, tmp_path):
     assert saved["features"]["target"] == "machine_failure"
     assert saved["precision_at_k"] == record["precision_at_k"]
     report = saved["decision_report"]["classification_report"]
-    assert [r["label"] for r in report] == ["0", "1", "accuracy", "macro avg", "weighted avg"]
-    assert report[1]["support"] + report[0]["support"] == report[2]["support"] == scored.count()
+    assert report.__fields__ == ["0", "1", "accuracy", "macro avg", "weighted avg"]
+    rows = report["0"]["support"] + report["1"]["support"]
+    assert rows == report["macro avg"]["support"] == scored.count()
+    assert report["accuracy"] == (tn + tp) / rows
     assert saved["k_sweep"][1]["cutoff_score"] == record["cutoff_or_threshold"]
 
 
