@@ -16,6 +16,7 @@ from faultline.functions.text import (
 )
 from faultline.operators.ranking import last_rows, top_k_ranked
 from faultline.schemas import EXTRACTED_FIELDS, LOG_COLUMNS
+from faultline.storage import materialize
 
 SPACE = " \t\r\n\f\v"
 
@@ -115,13 +116,46 @@ def numbers_inside(text) -> Column:
     return F.filter(numbers, lambda n: n.isNotNull())
 
 
-def with_units(log: DataFrame, mode: str = "exact", out: str = "udi") -> DataFrame:
-    """Log rows with the machine number(s) they refer to."""
-    if mode == "exact":
-        return log.withColumn(out, machine_number("machine_id")).filter(F.col(out).isNotNull())
-    if mode == "contains":
-        return log.withColumn(out, F.explode(numbers_inside("machine_id")))
-    raise ValueError(f"unknown match mode: {mode}")
+MODES = ("exact", "contains")
+
+
+def log_index(
+    log: DataFrame, log_columns: Sequence[str] = ("timestamp", "urgency", "transcript")
+) -> DataFrame:
+    """Written rows (udi, exact, contains, log columns): each log row once for
+    every number its machine id names or contains.
+
+    The texts are taken apart once, whatever is asked of the index afterwards.
+    """
+    inside = log.select("machine_id", *log_columns).withColumns(
+        {"_named": machine_number("machine_id"), "_inside": numbers_inside("machine_id")}
+    )
+    numbers = F.array_compact(F.array_distinct(F.array_append(F.col("_inside"), F.col("_named"))))
+    rows = inside.withColumn("udi", F.explode(numbers)).select(
+        "udi",
+        F.coalesce(F.col("udi") == F.col("_named"), F.lit(False)).alias("exact"),
+        F.array_contains("_inside", F.col("udi")).alias("contains"),
+        *log_columns,
+    )
+    return materialize(rows, "log-index")
+
+
+def indexed_reports(
+    machines: DataFrame,
+    index: DataFrame,
+    log_columns: Sequence[str] = ("timestamp", "urgency", "transcript"),
+    mode: str = "exact",
+) -> DataFrame:
+    """``machine_reports`` from a ``log_index``."""
+    if mode not in MODES:
+        raise ValueError(f"unknown match mode: {mode}")
+    reports = index.filter(mode).select("udi", *log_columns)
+    units = machines.withColumn("udi", F.col("udi").cast("bigint"))
+    matched = reports.join(units, "udi")
+    unmatched = units.join(reports.select("udi").distinct(), "udi", "left_anti")
+    return matched.select(*units.columns, *log_columns).unionByName(
+        unmatched, allowMissingColumns=True
+    )
 
 
 def machine_reports(
@@ -137,13 +171,9 @@ def machine_reports(
     third of the log is split by Spark's skew handling (an outer join from the
     machine side could not be); unmatched machines are added by an anti join.
     """
-    reports = with_units(log.select("machine_id", *log_columns), mode).select("udi", *log_columns)
-    units = machines.withColumn("udi", F.col("udi").cast("bigint"))
-    matched = reports.join(units, "udi")
-    unmatched = units.join(reports.select("udi").distinct(), "udi", "left_anti")
-    return matched.select(*units.columns, *log_columns).unionByName(
-        unmatched, allowMissingColumns=True
-    )
+    if mode not in MODES:
+        raise ValueError(f"unknown match mode: {mode}")
+    return indexed_reports(machines, log_index(log, log_columns), log_columns, mode)
 
 
 def machine_facts(
@@ -168,7 +198,8 @@ def machine_facts(
         outcome_text("machine_failure", "YES", "No").alias("failure_recorded"),
         fleet_mean.alias("fleet_mean"),
     )
-    return machine_reports(facts, log, log_columns, mode)
+    # k rows, joined twice: ranked once
+    return machine_reports(materialize(facts, "machine-facts"), log, log_columns, mode)
 
 
 def match_option(

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from faultline.functions.numeric import nan_to_null, ratio
+from faultline.storage import materialize
 
 
 def is_missing(df: DataFrame, name: str):
@@ -35,12 +36,11 @@ def null_profile(df: DataFrame, top: int = 15) -> DataFrame:
 
 
 def label_distribution(df: DataFrame, label: str) -> DataFrame:
-    """Rows and share of each class. The total is a scalar, so the number of
-    classes does not matter."""
+    """Rows and share of each class, from one scan: the total is summed from the
+    written counts, whatever the number of classes."""
     known = df.filter(F.col(label).isNotNull()).select(label)
-    total = known.agg(F.count("*")).scalar()
-    counted = known.groupBy(label).agg(F.count("*").alias("count"))
-    return counted.withColumn("share", ratio(F.col("count"), total))
+    counted = materialize(known.groupBy(label).agg(F.count("*").alias("count")), "classes")
+    return counted.withColumn("share", ratio(F.col("count"), counted.agg(F.sum("count")).scalar()))
 
 
 def prevalence(df: DataFrame, label: str) -> DataFrame:

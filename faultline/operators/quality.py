@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from faultline.functions.numeric import nan_to_null
+from faultline.operators.cleaning import typed
 from faultline.operators.profile import duplicate_keys, is_missing
+from faultline.schemas import CLEAN_COLUMNS
 
 
 @dataclass(frozen=True)
@@ -36,11 +38,15 @@ class QualityError(ValueError):
     """A rule of severity ``error`` failed."""
 
 
-def quality_report(df: DataFrame, rules: Rules) -> DataFrame:
+def quality_report(
+    df: DataFrame, rules: Rules, had_value: Mapping[str, Column] | None = None
+) -> DataFrame:
     """Rows (check, column, value, passed, severity).
 
     Everything but the duplicate check is one scan with one aggregate; the
-    duplicate check adds one grouped scan of the key columns.
+    duplicate check adds one grouped scan of the key columns. ``had_value``
+    tells for typed columns whether the field they were read from was filled:
+    what is null all the same was lost by the cast.
     """
     entries = []
 
@@ -77,9 +83,25 @@ def quality_report(df: DataFrame, rules: Rules) -> DataFrame:
         smallest, largest = F.min(nan_to_null(name)), F.max(nan_to_null(name))
         add("range_low", name, smallest, smallest >= F.lit(low), "warn")
         add("range_high", name, largest, largest <= F.lit(high), "warn")
+    for name, had in (had_value or {}).items():
+        lost = F.count_if(had & is_missing(df, name))
+        add("lost_by_cast", name, lost, lost == 0, "warn")
     return df.agg(F.array(*entries).alias("entries")).select(F.inline("entries"))
 
 
+def typed_report(
+    raw: DataFrame, rules: Rules, columns: Sequence[tuple[str, str]] = CLEAN_COLUMNS
+) -> DataFrame:
+    """``quality_report`` of the typed rows and their cast losses, together: each
+    field is cast once, in one scan of the raw rows besides the duplicate check."""
+    filled = {name: F.col(f"_had_{name}") for name, _ in columns}
+    both = raw.select(
+        *[typed(name, kind) for name, kind in columns],
+        *[F.col(name).isNotNull().alias(f"_had_{name}") for name in filled],
+    )
+    return quality_report(both, rules, filled)
+
+
 def cast_loss_report(losses: DataFrame) -> DataFrame:
     """Quality rows from ``cleaning.cast_losses``."""
     return losses.select(

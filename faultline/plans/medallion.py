@@ -65,10 +65,7 @@ def build_silver(
     """Typed rows behind the quality gate, and the warnings it gave."""
     silver = cleaning.enforce_types(bronze)
     rules = replace(rules, expected_rows=expected_rows)
-    report = quality.quality_report(silver, rules).unionByName(
-        quality.cast_loss_report(cleaning.cast_losses(bronze))
-    )
-    warned = quality.enforce(report)
+    warned = quality.enforce(quality.typed_report(bronze, rules))
     # one typed row per bronze row: counting bronze reads no column
     return write_checked(silver, SILVER, fmt, expected_rows=bronze.count()), warned
 

@@ -325,8 +325,7 @@ def quality_report(spark, sf_dir):
         classes={"machine_failure": (0, 1)},
         ranges={"air_temperature_k": (200.0, 400.0), "torque_nm": (1.0, 40.0)},
     )
-    report = quality.quality_report(cleaning.enforce_types(bronze), rules)
-    return report.unionByName(quality.cast_loss_report(cleaning.cast_losses(bronze)))
+    return quality.typed_report(bronze, rules)
 
 
 @query

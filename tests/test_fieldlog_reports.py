@@ -35,7 +35,7 @@ def test_contains_match(spark):
     out = fieldlog.machine_reports(machines(spark, 12, 3, 99, 7), log(spark), mode="contains")
     assert pairs(out) == [(12, "heat"), (12, "noise"), (3, "heat"), (7, "belt"), (99, None)]
     with pytest.raises(ValueError):
-        fieldlog.with_units(log(spark), "other")
+        fieldlog.machine_reports(spark.range(1).withColumnRenamed("id", "udi"), log(spark), mode="other")
 
 
 @pytest.mark.parametrize(
