@@ -32,7 +32,9 @@ from faultline.llm.common import bind, materialize
 
 # fixed patterns of the kinds
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
-EMAIL = r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?)*\.[A-Za-z]{2,}"
+# lengths as mail and host names have them at most: every search ends, whatever the text
+LABEL = r"[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?"
+EMAIL = rf"(?<![A-Za-z0-9])[A-Za-z0-9][A-Za-z0-9._%+-]{{0,252}}+@{LABEL}(?:\.{LABEL}){{0,125}}\.[A-Za-z]{{2,63}}"
 IP = rf"(?<![\d.]){OCTET}(?:\.{OCTET}){{3}}(?!\.?\d)"
 PHONE = r"(?<![\d+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d)|(?<![\d+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,4}(?!\d)"
 CARD = r"(?<!\d)(?:\d{4}[ -]){3}\d{1,4}(?!\d)|(?<!\d)\d{13,16}(?!\d)"

@@ -181,11 +181,18 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def bucket_bounds(docs: DataFrame, buckets: int) -> list[int]:
-    """Ascending doc_ids that open the buckets; at most ``buckets`` numbers."""
-    found = docs.select(F.col("doc_id").cast("long")).approxQuantile(
+    """Ascending doc_ids that open the buckets; at most ``buckets`` numbers.
+
+    Quantiles are doubles and may fall between ids, so a bucket opens with the
+    smallest id that lies in it.
+    """
+    ids = docs.select(F.col("doc_id").cast("long"))
+    found = ids.approxQuantile(
         "doc_id", [i / buckets for i in range(1, buckets)], 0.2 / buckets
     )
-    return sorted({int(x) for x in found})
+    rough = sorted({min(int(x), 2**63 - 1) for x in found})
+    opens = ids.groupBy(bucket_of(F.col("doc_id"), rough).alias("bucket")).agg(F.min("doc_id").alias("least"))
+    return sorted(r["least"] for r in opens.collect() if r["bucket"] and r["least"] is not None)
 
 
 def bounds_array(bounds: list[int]) -> Column:
