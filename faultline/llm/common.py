@@ -13,6 +13,7 @@ from faultline.storage import enable_checkpoints, materialize, new_path
 
 __all__ = [
     "bind",
+    "columns_of",
     "enable_checkpoints",
     "materialize",
     "new_path",
@@ -39,6 +40,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def columns_of(df: DataFrame) -> list[Column]:
+    """All columns, found by their whole names, dots and all."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
 def bind(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` computed once per row.
 

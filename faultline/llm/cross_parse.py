@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from faultline.llm.common import materialize, ship
+from faultline.llm.common import columns_of, materialize, ship
 
 ship(__name__)
 
@@ -223,7 +223,7 @@ def keep_known(docs: DataFrame) -> DataFrame:
         .distinct()
     )
     rows = docs.select(
-        F.struct(*docs.columns).alias("_row"),
+        F.struct(*columns_of(docs)).alias("_row"),
         F.struct(
             F.col("doc_id").cast("long").alias("doc_id"),
             F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"),

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from faultline.llm.common import WORD, materialize, partitions
+from faultline.llm.common import WORD, columns_of, materialize, partitions
 
 MAX_EPOCHS = 3
 #: Rates at the start and the end of training, dealt to the sources in turn.
@@ -206,7 +206,7 @@ def mix(docs: DataFrame, max_epochs: int = MAX_EPOCHS) -> DataFrame:
         F.col("source").cast("string").alias("source"),
     )
     own = (
-        docs.select(F.struct(*docs.columns).alias("_row"), own_key.alias("_key"))
+        docs.select(F.struct(*columns_of(docs)).alias("_row"), own_key.alias("_key"))
         .withColumn("_nth", F.row_number().over(W.partitionBy("_key").orderBy(F.lit(0))))
         .alias("o")
     )
@@ -218,6 +218,7 @@ def mix(docs: DataFrame, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     rows = own.join(
         taken, (F.col("o._key") == F.col("t._key")) & (F.col("o._nth") == F.col("t._nth"))
     ).withColumn("_text", kept)
+    # only what is returned goes through the sort, and what it sorts by
     columns = [
         F.col("_text").alias("text")
         if c == "text"
@@ -226,4 +227,6 @@ def mix(docs: DataFrame, max_epochs: int = MAX_EPOCHS) -> DataFrame:
         else F.col("_row")[c].alias(c)
         for c in docs.columns
     ]
-    return rows.orderBy("position", "t._key", "epoch").select(*columns)
+    at = F.struct("position", "t._key", "epoch").alias("at")
+    ordered = rows.select(at, F.struct(*columns).alias("row")).orderBy("at")
+    return ordered.select(*[F.col("row")[c].alias(c) for c in docs.columns])

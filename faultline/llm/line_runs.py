@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from faultline.llm.common import WORD, bind, materialize, partitions
+from faultline.llm.common import WORD, bind, columns_of, materialize, partitions
 
 MIN_WORDS = 10
 #: ASCII white space, which parts words and is trimmed from lines.
@@ -252,7 +252,7 @@ def drop_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFram
     """
     gone = deleted_lines(docs, min_words).toDF("_key", "_gone")
     rows = docs.select(
-        F.struct(*docs.columns).alias("_row"), doc_key().alias("_key")
+        F.struct(*columns_of(docs)).alias("_row"), doc_key().alias("_key")
     ).join(gone, "_key", "left")
     text = F.col("_row.text")
     left = bind(

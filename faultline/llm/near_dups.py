@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faultline.llm.common import WORD, materialize, partitions, ship
+from faultline.llm.common import WORD, columns_of, materialize, partitions, ship
 
 ship(__name__)
 
@@ -535,7 +535,7 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     )
     has_words = F.coalesce(F.col("_row.text").rlike(WORD), F.lit(False))
     rows = docs.select(
-        F.struct(*docs.columns).alias("_row"),
+        F.struct(*columns_of(docs)).alias("_row"),
         doc_key,
         F.xxhash64(F.coalesce("text", F.lit(""))).alias("_hash"),
     )
