@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from faultline.llm import best_fit, cross_parse, curriculum, line_runs, near_dups
-from faultline.llm.common import materialize, table
+from faultline.llm.common import columns_of, materialize, table
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,7 +19,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later copies of repeated line runs go from the texts; documents that lose all text stay, empty."""
-    return line_runs.drop_repeated_lines(docs).select(*docs.columns)
+    return line_runs.drop_repeated_lines(docs).select(*columns_of(docs))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
