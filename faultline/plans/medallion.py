@@ -42,6 +42,7 @@ class MedallionRun:
     metrics: Row
     roc_auc: float
     importance: DataFrame
+    scorer: PipelineModel
 
 
 def build_bronze(
@@ -105,7 +106,7 @@ def run(
     use_namespace(spark, namespace, location)
     bronze = build_bronze(spark, path, expected_rows, fmt)
     silver, warned = build_silver(bronze, expected_rows=expected_rows, fmt=fmt)
-    gold, _ = build_gold(silver, include_flags, fmt)
+    gold, fitted = build_gold(silver, include_flags, fmt)
 
     train, test, _, test_rows = split_counted(hash_split(gold, "udi", test_fraction, seed))
     model = PipelineModel([forest(seed=seed, **forest_settings).fit(spread(train))])
@@ -128,4 +129,6 @@ def run(
         metrics,
         roc_auc(measured, "_score", TARGET).first()[0],
         feature_importance(model, scored.select(F.col("features"))),
+        # feature stages and learner together: scores typed sensor rows, not only gold ones
+        PipelineModel([*fitted.stages, *model.stages]),
     )

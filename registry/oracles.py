@@ -825,3 +825,30 @@ add(
     SCORED,
     SENSORS,
 )
+
+# ---- exact parts of the model stage ----
+
+_SENSORS = ["air_temperature_k", "process_temperature_k", "rotational_speed_rpm", "torque_nm", "tool_wear_min"]
+_SLOTS = [*_SENSORS, *(f.lower() for f in ("TWF", "HDF", "PWF", "OSF", "RNF"))]
+add(
+    "feature_slots",
+    " union all ".join(
+        f"select udi, machine_failure, {i} as slot, {name}::double as value, '{name}' as name from labelled"
+        for i, name in enumerate(_SLOTS)
+    )
+    + f""" union all select udi, machine_failure, cast({len(_SLOTS)} + t.i as integer) as slot,
+      case when l.type = t.type then 1.0::double else 0.0::double end as value, 'features_type_onehot_' || t.type as name
+    from labelled l, (select type, row_number() over (order by type) - 1 as i
+      from (select distinct type from labelled where type is not null)) t""",
+    LABELLED,
+)
+add(
+    "split_inputs",
+    """select e.udi, e.machine_failure, e.type, air_temperature_k, process_temperature_k,
+      rotational_speed_rpm::double as rotational_speed_rpm, torque_nm, tool_wear_min::double as tool_wear_min,
+      TempDiff, Torque_x_RPM, rn <= floor(n * 0.2::double + 0.5::double) as is_test
+    from engineered e join ordered o on e.udi = o.udi""",
+    LABELLED,
+    ENGINEERED,
+    ORDERED,
+)

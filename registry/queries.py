@@ -636,6 +636,24 @@ def feature_vectors(spark, sf_dir):
     return vectors.withColumn("features", vector_to_array("features"))
 
 
+@query
+def feature_slots(spark, sf_dir):
+    """The vectors of ``feature_vectors`` slot by slot, under the slots' names."""
+    _, vectors = features.feature_vectors(views.labelled(spark, sf_dir), include_flags=True)
+    names = F.array(*[F.lit(name) for name in importance.slot_names(vectors)])
+    slots = vectors.select(KEY, LABEL, F.posexplode(vector_to_array("features")).alias("slot", "value"))
+    return slots.withColumn("name", F.get(names, F.col("slot")))
+
+
+@query
+def split_inputs(spark, sf_dir):
+    """Membership and inputs of the model split, as the fits read them."""
+    train_rows, test_rows = parts(spark, sf_dir)
+    return train_rows.withColumn("is_test", F.lit(False)).unionByName(
+        test_rows.withColumn("is_test", F.lit(True))
+    )
+
+
 @query
 def train_forest_score(spark, sf_dir):
     return test_scores(spark, sf_dir, "forest")

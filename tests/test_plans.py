@@ -30,6 +30,14 @@ def test_all_layers(spark, raw_file, tmp_path):
     }
     assert len(done.gold.first()["features"]) == 12
     assert done.roc_auc > 0.6 and done.importance.count() == 5
+    # the scorer takes silver rows and gives what the gold rows gave
+    from faultline.models.features import engineered
+    from faultline.models.train import load_model, save_model
+
+    save_model(done.scorer, str(tmp_path / "scorer"))
+    rescored = load_model(str(tmp_path / "scorer")).transform(engineered(done.silver))
+    both = rescored.select("udi", F.col("prediction").alias("again")).join(done.predictions, "udi")
+    assert both.filter("again <> prediction").count() == 0 < both.count()
     exported = readers.read_predictions(spark, out)
     assert exported.count() == done.predictions.count() == done.metrics["rows"]
     if done.metrics["fn"]:
@@ -89,6 +97,23 @@ def test_policy_run(spark, sf_dir, tmp_path):
     assert saved["k_sweep"][1]["cutoff_score"] == record["cutoff_or_threshold"]
 
 
+def test_learners_are_compared_on_one_split(spark, sf_dir):
+    rows = views.labelled(spark, sf_dir)
+    got = policy_run.compare(rows, logistic={"maxIter": 20}, boosted={"maxIter": 2, "maxDepth": 3})
+    assert list(got) == ["logistic", "boosting"]
+    for measures in got.values():
+        assert 0.5 < measures["roc_auc"] <= 1 and 0 < measures["pr_auc"] <= 1
+        assert list(measures["at_k"]) == [10, 20, 50, 100]
+        recalls = [recall for _, recall in measures["at_k"].values()]
+        assert recalls == sorted(recalls)
+        assert list(measures["thresholds"]) == list(measures["reports"]) == ["best_f1", "top_20"]
+        for name, cells in measures["confusion"].items():
+            total = sum(cells[c] for c in ("tp", "fp", "fn", "tn"))
+            assert total == next(r["support"] for r in measures["reports"][name] if r["label"] == "macro avg")
+        top = measures["confusion"]["top_20"]
+        assert top["tp"] + top["fp"] >= 20
+
+
 def readers_metadata(spark, path):
     return writers.read_metadata(spark, path).first()
 
