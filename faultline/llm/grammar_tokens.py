@@ -3,7 +3,7 @@
 A file is a table of blocks. A block holds the ids of some documents in a
 row as a Re-Pair grammar: frequent pairs of symbols are replaced by a new
 symbol, again and again, and the rules are stored with the number of ids each
-one expands to. No rule starts with the end id, so every document begins at
+one expands to. No rule goes on behind an end id, so every document begins at
 a symbol of its own and can be decoded without its neighbours.
 
 ``payload`` of a block, all little endian:
@@ -65,15 +65,22 @@ def compress(
     occur at least LEAST_COUNT times and replaces their occurrences from left
     to right. Pairs that overlap wait for the next round. It ends when no pair
     occurs so often, or after ``rounds``.
+
+    A pair that occurs too seldom never becomes frequent again, as new places
+    hold new symbols. So a round looks only at the places that the last one
+    left frequent and at those beside what it replaced.
     """
     symbols = ids.astype(np.uint32)
     base = int(symbols.max()) + 1 if len(symbols) else 0
     rules: list[np.ndarray] = []
     made = 0
+    #: Symbols whose last id ends a document; no pair starts with one.
+    last = np.arange(base) == end_id
+    live = np.flatnonzero(~last[symbols[:-1]])
     for turn in count() if rounds is None else range(rounds):
-        if len(symbols) <= LEAST_COUNT:
+        if len(live) < LEAST_COUNT:
             break
-        left, right = symbols[:-1], symbols[1:]
+        left, right = symbols[live], symbols[live + 1]
         # pairs are counted by slot; in each slot one pair stands for it, and
         # pairs that share its slot have their chance under the next round's hash
         slot = (left * np.uint32(2654435761 + 2 * turn)) ^ (right * np.uint32(2246822519))
@@ -82,12 +89,13 @@ def compress(
         likely = min(2 * RULES_PER_ROUND, np.count_nonzero(counts >= LEAST_COUNT))
         if not likely:
             break
+        often = np.flatnonzero(counts[slot] >= LEAST_COUNT)
+        live, left, right, slot = live[often], left[often], right[often], slot[often]
         hot = np.zeros(1 << SLOT_BITS, bool)
         hot[np.argpartition(counts, -likely)[-likely:]] = True
-        at = np.flatnonzero(hot[slot])
-        at = at[left[at] != end_id]
-        place = slot[at]
-        keys = (left[at].astype(np.uint64) << np.uint64(32)) | right[at]
+        chosen = np.flatnonzero(hot[slot])
+        at, place = live[chosen], slot[chosen]
+        keys = (left[chosen].astype(np.uint64) << np.uint64(32)) | right[chosen]
         pair_of = np.zeros(1 << SLOT_BITS, np.uint64)
         pair_of[place] = keys
         same = pair_of[place] == keys
@@ -97,8 +105,8 @@ def compress(
         order = order[np.argsort(-n[order], kind="stable")][:RULES_PER_ROUND]
         if not len(order):
             # no pair that stands for its slot; the others are counted one by one
-            at = np.flatnonzero(left != end_id)
-            keys = (left[at].astype(np.uint64) << np.uint64(32)) | right[at]
+            at = live
+            keys = (left.astype(np.uint64) << np.uint64(32)) | right
             pair_of, place, n = np.unique(keys, return_inverse=True, return_counts=True)
             order = np.flatnonzero(n >= LEAST_COUNT)
             order = order[np.argsort(-n[order], kind="stable")][:RULES_PER_ROUND]
@@ -113,14 +121,18 @@ def compress(
         run = np.maximum.accumulate(np.where(starts, np.arange(len(at)), 0))
         taken = (np.arange(len(at)) - run) % 2 == 0
         at, rule = at[taken], rule[taken]
-        symbols = symbols.copy()
         symbols[at] = (base + made + rule).astype(np.uint32)
         keep = np.ones(len(symbols), bool)
         keep[at + 1] = False
-        symbols = symbols[keep]
-        chosen = pair_of[order]
+        look = np.zeros(len(symbols), bool)
+        look[live] = look[at] = look[np.maximum(at - 1, 0)] = True
+        symbols, look = symbols[keep], look[keep]
+        pairs = pair_of[order]
+        last = np.r_[last, last[pairs & np.uint64(0xFFFFFFFF)]]
+        live = np.flatnonzero(look[:-1])
+        live = live[~last[symbols[live]]]
         rules.append(
-            np.stack([chosen >> np.uint64(32), chosen & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32)
+            np.stack([pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32)
         )
         made += len(order)
     table = np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32)
@@ -136,25 +148,27 @@ def expansion_lengths(rules: np.ndarray, base: int) -> np.ndarray:
 
 
 def expand(symbols: np.ndarray, rules: np.ndarray, lengths: np.ndarray, base: int) -> np.ndarray:
-    """The ids behind ``symbols``."""
-    is_rule = symbols >= base
+    """The ids behind ``symbols``; rules that they do not reach are not expanded.
+
+    Each step replaces all rules of the row by their two sides, and the stored
+    lengths say where a rule's right side begins; a row of ids is filled, so
+    the cost grows with the ids wanted and the depth of their rules.
+    """
+    symbols = symbols.astype(np.int64)
     size = np.ones(len(symbols), np.int64)
-    if not is_rule.any():
-        return symbols.astype(np.uint32)
-    used = (symbols[is_rule] - base).astype(np.int64)
-    size[is_rule] = lengths[used]
-    texts: list[list[int]] = []
-    for a, b in rules.tolist():
-        texts.append(
-            (texts[a - base] if a >= base else [a]) + (texts[b - base] if b >= base else [b])
-        )
-    flat = np.fromiter((x for t in texts for x in t), np.uint32)
-    first = np.r_[0, np.cumsum(lengths.astype(np.int64))][:-1]
-    ends = np.cumsum(size)
-    out = np.repeat(symbols.astype(np.uint32), size)
-    inside = np.repeat(is_rule, size)
-    shift = np.repeat(first[used] - (ends - size)[is_rule], size[is_rule])
-    out[inside] = flat[np.flatnonzero(inside) + shift]
+    is_rule = symbols >= base
+    size[is_rule] = lengths[symbols[is_rule] - base]
+    at = np.cumsum(size) - size
+    out = np.empty(int(size.sum()), np.uint32)
+    while len(symbols):
+        plain = symbols < base
+        out[at[plain]] = symbols[plain]
+        at, used = at[~plain], symbols[~plain] - base
+        left, right = rules[used, 0].astype(np.int64), rules[used, 1].astype(np.int64)
+        ahead = np.ones(len(left), np.int64)
+        deep = left >= base
+        ahead[deep] = lengths[left[deep] - base]
+        symbols, at = np.r_[left, right], np.r_[at, at + ahead]
     return out
 
 
@@ -211,19 +225,29 @@ class WordIds(dict):
     The tokenizer drops white space, and its normaliser and splitter never
     join what white space parts, so a text's ids are those of its chunks in a
     row. A chunk of Latin letters with one mark at its end is two pieces for
-    the tokenizer, and case is folded, so those share their entry.
+    the tokenizer, and case is folded, so those share their entry. The
+    tokenizer's ``added`` tokens are found by their case, before it is folded,
+    so a chunk that holds one in any case stays as it is.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], limit: int = CACHE_WORDS):
+    def __init__(
+        self,
+        encode: Callable[[list[str]], list[bytes]],
+        added: Iterable[str] = (),
+        limit: int = CACHE_WORDS,
+    ):
         super().__init__()
         self.encode, self.limit = encode, limit
+        self.added = [token.lower() for token in added]
 
-    @staticmethod
-    def parts(chunk: bytes) -> tuple[str, ...]:
+    def parts(self, chunk: bytes) -> tuple[str, ...]:
         """The pieces that the tokenizer is asked for."""
         text = chunk.decode()
         if max(text) < "Ā":
-            text = text.lower()
+            folded = text.lower()
+            if any(token in folded for token in self.added):
+                return (text,)
+            text = folded
             if text[-1] in ".,!?" and text[:-1].isalpha():
                 return text[:-1], text[-1]
         return (text,)
@@ -242,8 +266,8 @@ class WordIds(dict):
                 self[chunk] = b"".join([self[x.encode()] for x in p])
 
 
-def encoder(tokenizer_file: str) -> Callable[[list[str]], list[bytes]]:
-    """Ids of each of some words, as u32 bytes, from one call for all of them.
+def word_ids(tokenizer_file: str) -> WordIds:
+    """Ids of words, as u32 bytes, from one call for all new ones together.
 
     The words are encoded with blanks between them and parted by the offsets
     of their ids.
@@ -262,7 +286,7 @@ def encoder(tokenizer_file: str) -> Callable[[list[str]], list[bytes]]:
         edges = (4 * np.searchsorted(starts, begins)).tolist()
         return [ids[a:b] for a, b in zip(edges, edges[1:], strict=False)]
 
-    return encode
+    return WordIds(encode, [t.content for t in tokenizer.get_added_tokens_decoder().values()])
 
 
 def blocks_of(
@@ -335,7 +359,7 @@ def write_token_files(
 
     def encode(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         if "words" not in kept.value:
-            kept.value["words"] = WordIds(encoder(tokenizer_file))
+            kept.value["words"] = word_ids(tokenizer_file)
         words = kept.value["words"]
         return blocks_of(
             (x.astype({"doc_id": object}) for x in parts), words, end_id, block_ids, rounds

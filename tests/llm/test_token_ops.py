@@ -27,6 +27,51 @@ def test_grammar_round_trip():
     assert not (block.rules[:, 0] == grammar_tokens.END_ID).any()
 
 
+def test_no_frequent_pair_is_left():
+    rng = np.random.default_rng(5)
+    ids = rng.zipf(1.3, 60_000).clip(2, 4000).astype(np.uint32)
+    ids[rng.integers(0, len(ids), 300)] = 1
+    ids = np.r_[ids, np.tile(np.array([9, 9, 9, 8], np.uint32), 500), 1].astype(np.uint32)
+    symbols, rules, base = grammar_tokens.compress(ids)
+    lengths = grammar_tokens.expansion_lengths(rules, base)
+    assert (grammar_tokens.expand(symbols, rules, lengths, base) == ids).all()
+    # pairs of equal symbols overlap, and none goes on behind the end of a document
+    pairs, n = np.unique(np.stack([symbols[:-1], symbols[1:]], 1), axis=0, return_counts=True)
+    last = [grammar_tokens.expand(pairs[i, :1], rules, lengths, base)[-1] for i in range(len(pairs))]
+    free = (np.array(last) != 1) & (pairs[:, 0] != pairs[:, 1])
+    assert n[free].max() < grammar_tokens.LEAST_COUNT
+
+
+def test_a_document_needs_only_its_own_rules():
+    docs = [[5, 6, 5, 6, 7, 1]] * 40 + [[8, 9, 8, 9, 1]] * 40
+    ids = np.array([x for d in docs for x in d], np.uint32)
+    block = grammar_tokens.Block(grammar_tokens.pack(ids, [len(d) for d in docs]))
+    wanted = set(block.symbols[block.first[0] : block.first[1]].tolist())
+    todo = list(wanted)
+    while todo:
+        x = todo.pop()
+        if x >= block.base:
+            todo += set(block.rules[x - block.base].tolist()) - wanted
+            wanted |= set(block.rules[x - block.base].tolist())
+    spoilt = block.rules.copy()
+    for r in range(len(spoilt)):
+        if r + block.base not in wanted:
+            spoilt[r] = 1 << 30
+    assert [block.document(i).tolist() for i in range(len(docs))] == docs
+    block.rules = spoilt
+    assert block.document(0).tolist() == docs[0]
+
+
+def test_added_tokens_keep_their_case():
+    tokenizer = Tokenizer.from_file(FILE)
+    words = grammar_tokens.word_ids(FILE)
+    for token in ("<|endoftext|>", "<|startoftext|>"):
+        for shown in (token, token.upper(), token.title(), "A" + token, "B" + token.upper() + "x,"):
+            words.learn({shown.encode()})
+            expected = tokenizer.encode(shown, add_special_tokens=False).ids
+            assert np.frombuffer(words[shown.encode()], "<u4").tolist() == expected
+
+
 @pytest.mark.parametrize("ids", [[], [1], [5, 5, 5, 5, 1], [7] * 500 + [1]])
 def test_grammar_edges(ids):
     ids = np.array(ids, np.uint32)
@@ -37,7 +82,7 @@ def test_grammar_edges(ids):
 def test_token_files_match_the_tokenizer(spark, odd_docs):
     tokenizer = Tokenizer.from_file(FILE)
     extra = spark.createDataFrame(
-        [(20, "A\x1cB don't É, é. <|endoftext|>x İ Σ ﬁ 12,5  y"), (21, "THE the, the. The!")],
+        [(20, "A\x1cB don't É, é. <|endoftext|>x <|ENDOFTEXT|> <|EndOfText|> İ Σ ﬁ 12,5  y"), (21, "THE the, the. The!")],
         "doc_id long, text string",
     )
     docs = odd_docs.select("doc_id", "text").union(extra)
