@@ -20,10 +20,12 @@ a symbol of its own and can be decoded without its neighbours.
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
 from collections.abc import Callable, Iterable, Iterator
 from itertools import count
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
@@ -39,13 +41,13 @@ END_ID = 1
 BLOCK_IDS = 1 << 20
 #: Rounds of a block; None: until no pair reaches the least count.
 ROUNDS = None
-RULES_PER_ROUND = 1024
+RULES_PER_ROUND = 4096
 LEAST_COUNT = 32
 #: Words whose ids a Python worker remembers from task to task (about 200 bytes each).
 CACHE_WORDS = 1_400_000
 #: Documents whose new words are encoded together.
 TOGETHER = 256
-SLOT_BITS = 18
+SLOT_BITS = 16
 
 BLOCKS = (
     "shard int, block int, n_docs int, n_tokens long, tokens_before long, "
@@ -85,12 +87,12 @@ def compress(
         # pairs that share its slot have their chance under the next round's hash
         slot = (left * np.uint32(2654435761 + 2 * turn)) ^ (right * np.uint32(2246822519))
         slot >>= np.uint32(32 - SLOT_BITS)
+        slot = slot.astype(np.int64)
         counts = np.bincount(slot, minlength=1 << SLOT_BITS)
         likely = min(2 * RULES_PER_ROUND, np.count_nonzero(counts >= LEAST_COUNT))
         if not likely:
             break
         often = np.flatnonzero(counts[slot] >= LEAST_COUNT)
-        live, left, right, slot = live[often], left[often], right[often], slot[often]
         hot = np.zeros(1 << SLOT_BITS, bool)
         hot[np.argpartition(counts, -likely)[-likely:]] = True
         chosen = np.flatnonzero(hot[slot])
@@ -105,8 +107,8 @@ def compress(
         order = order[np.argsort(-n[order], kind="stable")][:RULES_PER_ROUND]
         if not len(order):
             # no pair that stands for its slot; the others are counted one by one
-            at = live
-            keys = (left.astype(np.uint64) << np.uint64(32)) | right
+            at = live[often]
+            keys = (left[often].astype(np.uint64) << np.uint64(32)) | right[often]
             pair_of, place, n = np.unique(keys, return_inverse=True, return_counts=True)
             order = np.flatnonzero(n >= LEAST_COUNT)
             order = order[np.argsort(-n[order], kind="stable")][:RULES_PER_ROUND]
@@ -125,7 +127,7 @@ def compress(
         keep = np.ones(len(symbols), bool)
         keep[at + 1] = False
         look = np.zeros(len(symbols), bool)
-        look[live] = look[at] = look[np.maximum(at - 1, 0)] = True
+        look[live[often]] = look[at] = look[np.maximum(at - 1, 0)] = True
         symbols, look = symbols[keep], look[keep]
         pairs = pair_of[order]
         last = np.r_[last, last[pairs & np.uint64(0xFFFFFFFF)]]
@@ -238,14 +240,16 @@ class WordIds(dict):
     ):
         super().__init__()
         self.encode, self.limit = encode, limit
-        self.added = [token.lower() for token in added]
+        added = [token.lower() for token in added]
+        #: What every added token begins with; no word holds it if there are none.
+        self.mark = os.path.commonprefix(added) if added else "\n"
 
     def parts(self, chunk: bytes) -> tuple[str, ...]:
         """The pieces that the tokenizer is asked for."""
         text = chunk.decode()
-        if max(text) < "Ā":
+        if text.isascii() or max(text) < "Ā":
             folded = text.lower()
-            if any(token in folded for token in self.added):
+            if self.mark in folded:
                 return (text,)
             text = folded
             if text[-1] in ".,!?" and text[:-1].isalpha():
@@ -256,12 +260,12 @@ class WordIds(dict):
         """Make sure that all ``chunks`` are known."""
         if len(self) > self.limit:
             self.clear()
-        new = chunks.difference(self)
-        pieces = {c: self.parts(c) for c in new}
-        words = list({x for p in pieces.values() for x in p if x.encode() not in self})
+        new = list(chunks.difference(self))
+        pieces = list(map(self.parts, new))
+        words = list({x for p in pieces for x in p if x.encode() not in self})
         for word, ids in zip(words, self.encode(words), strict=True):
             self[word.encode()] = ids
-        for chunk, p in pieces.items():
+        for chunk, p in zip(new, pieces, strict=True):
             if chunk not in self:
                 self[chunk] = b"".join([self[x.encode()] for x in p])
 
@@ -282,7 +286,7 @@ def word_ids(tokenizer_file: str) -> WordIds:
         found = tokenizer.encode(" ".join(words), add_special_tokens=False)
         ids = np.array(found.ids, "<u4").tobytes()
         begins = np.cumsum([0] + [len(w) + 1 for w in words])
-        starts = [start for start, _ in found.offsets]
+        starts = list(map(itemgetter(0), found.offsets))
         edges = (4 * np.searchsorted(starts, begins)).tolist()
         return [ids[a:b] for a, b in zip(edges, edges[1:], strict=False)]
 
