@@ -12,9 +12,12 @@ Links are sought in two passes, so that no bucket is spelled out in pairs:
 1. Each bucket has a hub: the member that shares most bucket places with
    others, which in a group of copies is their common origin. Every other
    member is compared with it, and links found are merged into components.
-2. Pairs that share a bucket but no component yet are compared inside tasks,
-   block by block of the bucket; only pairs that outlive the signatures leave
-   the task. A pair in one component needs no link of its own.
+2. Pairs that share a bucket but no component yet are compared on their
+   signatures inside tasks, block by block of the bucket. A task passes on a
+   forest that joins what outlives the signatures, not the pairs, so it sends
+   fewer rows than it reads. The trees of all forests together are crowds;
+   the texts of a crowd meet, block by block, where the pairs that outlive the
+   signatures are verified until those left are known to be connected.
 
 Every pair that shares a bucket is therefore verified, dropped by the bound,
 or known to be connected.
@@ -22,12 +25,12 @@ or known to be connected.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from math import comb
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from faultline.llm.common import WORD, columns_of, materialize, partitions, ship
@@ -174,113 +177,191 @@ def posterior_filter(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield part.iloc[outliving(sa, sb)][["a", "b"]]
 
 
-def compare_blocks(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Pairs (a, b) of different components within rows of one (bucket, lo, hi).
-
-    Rows come sorted by that key and are taken a group at a time; a group is
-    one block of a bucket, or two blocks whose members meet. A pair counts in
-    the first band it shares only.
-    """
+def by_place(
+    parts: Iterator[pd.DataFrame],
+    keys: list[str],
+    compare: Callable[[pd.DataFrame], Iterator[pd.DataFrame]],
+) -> Iterator[pd.DataFrame]:
+    """What ``compare`` gives for the rows of each place; rows come sorted by ``keys``."""
     held: pd.DataFrame | None = None
     for part in parts:
         rows = part if held is None else pd.concat([held, part], ignore_index=True)
         if not len(rows):
             continue
-        key = rows[["bucket", "lo", "hi"]].to_numpy()
+        key = rows[keys].to_numpy()
         edges = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]).any(axis=1)])
         held = rows.iloc[edges[-1] :].reset_index(drop=True)
         for start, end in zip(edges, edges[1:], strict=False):
-            yield from compare_group(rows.iloc[start:end])
+            yield from compare(rows.iloc[start:end])
     if held is not None:
-        yield from compare_group(held)
+        yield from compare(held)
 
 
-def compare_group(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
+def alive_pairs(rows: pd.DataFrame, apart: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (i, j) of the rows of one place that outlive their signatures.
+
+    A place is one block, or two whose members meet. ``apart`` numbers the
+    components; pairs of one component are left out.
+    """
     n = rows["n"].to_numpy()
-    label = pd.factorize(rows["label"])[0]
     block = rows["block"].to_numpy()
-    lo, hi, band = (int(rows[c].iloc[0]) for c in ("lo", "hi", "band"))
-    i, j = np.triu_indices(len(rows), 1)
-    fits = (label[i] != label[j]) & (
-        100 * np.minimum(n[i], n[j]) >= THRESHOLD * np.maximum(n[i], n[j])
-    )
-    if lo != hi:
-        fits &= block[i] != block[j]
-    i, j = i[fits], j[fits]
-    if not len(i):
+    if len(rows) < 2 or (apart == apart[0]).all():
         return
     sig = np.frombuffer(b"".join(rows["signature"]), np.uint32).reshape(-1, HASHES)
+    crossing = bool(rows["lo"].iloc[0] != rows["hi"].iloc[0])
+    step = max(1, (1 << 15) // len(rows))
+    for at in range(0, len(rows), step):
+        i, j = np.meshgrid(np.arange(at, min(at + step, len(rows))), np.arange(len(rows)), indexing="ij")
+        i, j = i.ravel(), j.ravel()
+        fits = (i < j) & (apart[i] != apart[j])
+        fits &= 100 * np.minimum(n[i], n[j]) >= THRESHOLD * np.maximum(n[i], n[j])
+        if crossing:
+            fits &= block[i] != block[j]
+        i, j = i[fits], j[fits]
+        if len(i):
+            alive = outliving(sig[i], sig[j])
+            yield i[alive], j[alive]
+
+
+class Roots(list):
+    """Roots of merged numbers 0 .. n - 1."""
+
+    def __init__(self, n: int):
+        super().__init__(range(n))
+
+    def of(self, i: int) -> int:
+        while self[i] != i:
+            self[i] = i = self[self[i]]
+        return i
+
+
+def joined_in_bucket(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
+    """A forest (a, b) over the pairs of a bucket that outlive their signatures.
+
+    A pair counts in the first band it shares only, and pairs with the hub
+    have been compared.
+    """
+    label = pd.factorize(rows["label"])[0]
+    hub = rows["is_hub"].to_numpy()
+    band = int(rows["band"].iloc[0])
     ids = rows["set_id"].to_numpy()
-    for at in range(0, len(i), 1 << 15):
-        a, b = i[at : at + (1 << 15)], j[at : at + (1 << 15)]
-        same = (sig[a] == sig[b]).reshape(len(a), BANDS, ROWS).all(axis=2)
+    roots, links = Roots(len(rows)), []
+    sig = None
+    for i, j in alive_pairs(rows, label):
+        i, j = i[~(hub[i] | hub[j])], j[~(hub[i] | hub[j])]
+        if not len(i):
+            continue
+        if sig is None:
+            sig = np.frombuffer(b"".join(rows["signature"]), np.uint32).reshape(-1, HASHES)
+        same = (sig[i] == sig[j]).reshape(len(i), BANDS, ROWS).all(axis=2)
         first = same.argmax(axis=1) == band
-        a, b = a[first], b[first]
-        alive = outliving(sig[a], sig[b])
-        yield pd.DataFrame({"a": ids[a[alive]], "b": ids[b[alive]]})
+        for x, y in zip(i[first].tolist(), j[first].tolist(), strict=True):
+            p, q = roots.of(x), roots.of(y)
+            if p != q:
+                roots[p] = q
+                links.append((x, y))
+    if links:
+        at = np.array(links)
+        yield pd.DataFrame({"a": ids[at[:, 0]], "b": ids[at[:, 1]]})
+
+
+def verified_in_crowd(rows: pd.DataFrame, numbers: WordNumbers) -> Iterator[pd.DataFrame]:
+    """Links (a, b) that connect what the exact links of a place connect."""
+    label = pd.factorize(rows["label"])[0]
+    texts, ids = rows["text"].to_numpy(), rows["set_id"].to_numpy()
+    sets: dict[int, np.ndarray] = {}
+    roots, links = Roots(int(label.max()) + 1), []
+    for i, j in alive_pairs(rows, label):
+        for x, y in zip(i.tolist(), j.tolist(), strict=True):
+            p, q = roots.of(label[x]), roots.of(label[y])
+            if p == q:
+                continue
+            for z in (x, y):
+                if z not in sets:
+                    sets[z] = shingles(texts[z], numbers)
+            if similar(sets[x], sets[y]):
+                roots[p] = q
+                links.append((x, y))
+    if links:
+        at = np.array(links)
+        yield pd.DataFrame({"a": ids[at[:, 0]], "b": ids[at[:, 1]]})
+
+
+def join_buckets(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    return by_place(parts, ["bucket", "lo", "hi"], joined_in_bucket)
+
+
+def verify_crowds(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    numbers = WordNumbers()
+    return by_place(parts, ["crowd", "lo", "hi"], lambda rows: verified_in_crowd(rows, numbers))
+
+
+def similar(one: np.ndarray, other: np.ndarray) -> bool:
+    """Whether two full sets reach the threshold."""
+    common = len(np.intersect1d(one, other, assume_unique=True))
+    return 100 * common >= THRESHOLD * (len(one) + len(other) - common)
 
 
 def verify(key: tuple, pairs: pd.DataFrame, texts: pd.DataFrame) -> pd.DataFrame:
-    """The pairs (a, b) of two blocks of texts whose full sets are similar enough."""
+    """The pairs (a, b) of one place whose full sets are similar enough."""
     numbers = WordNumbers()
     sets = {
         bytes(i): shingles(t, numbers)
         for i, t in zip(texts["set_id"], texts["text"], strict=True)
     }
-    kept = []
-    for a, b in zip(pairs["a"], pairs["b"], strict=True):
-        one, other = sets[bytes(a)], sets[bytes(b)]
-        common = len(np.intersect1d(one, other, assume_unique=True))
-        kept.append(100 * common >= THRESHOLD * (len(one) + len(other) - common))
+    kept = [
+        similar(sets[bytes(a)], sets[bytes(b)])
+        for a, b in zip(pairs["a"], pairs["b"], strict=True)
+    ]
     return pairs.loc[kept, ["a", "b"]]
 
 
-def same_set(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows (set_id, text) whose text has that set."""
-    numbers = WordNumbers()
-    for part in parts:
-        found = set_ids([shingles(t, numbers) for t in part["text"]])
-        same = [a == bytes(b) for a, b in zip(found, part["set_id"], strict=True)]
-        yield part.loc[same, ["set_id", "text"]]
-
-
 # -- links and components ---------------------------------------------------
 
 
 def texts_of(docs: DataFrame, carriers: DataFrame) -> DataFrame:
-    """(set_id, text), one row for each class of ``carriers`` (set_id, first).
+    """(set_id, text), one row for each class of ``carriers`` (set_id, carrier).
 
-    A doc_id that repeats may hold other texts too, so sets are compared.
+    A carrier is the doc_id and text hash of one row of the class. Rows alike
+    in both become one before they are shuffled, so neither an id that repeats
+    nor rows without one meet more than their own class.
     """
     keyed = docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"),
+        doc_key(F.col("doc_id").cast("long")),
         F.col("text").cast("string").alias("text"),
+        text_hash(),
+    ).dropDuplicates(["doc_id", "text_hash"])
+    wanted = carriers.select(
+        "set_id", doc_key(F.col("carrier.doc_id")), F.col("carrier.text_hash").alias("text_hash")
     )
-    wanted = carriers.select("set_id", F.coalesce("first", F.lit(NO_ID)).alias("doc_id"))
-    found = keyed.join(wanted, "doc_id").select("set_id", "text")
-    matched = found.mapInPandas(same_set, "set_id binary, text string")
-    return materialize(matched.dropDuplicates(["set_id"]), "near-texts")
+    return keyed.join(wanted, ["doc_id", "text_hash"]).select("set_id", "text")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, first: DataFrame) -> DataFrame:
-    """The pairs (a, b) of set ids that are links, as a written table.
+def hub_places(pairs: DataFrame, blocks: int) -> DataFrame:
+    """``pairs`` (hub a, member b) with the place x, y of their comparison.
 
-    Texts are fetched once each and dealt to blocks by their set id; a pair is
-    verified where its two blocks meet, so a text goes to a task once and not
-    with each of its pairs.
+    The hubs of a block x meet their members in one place, or in several if
+    there are many, so a hub's text is sent once and not with each member.
+    """
+    placed = pairs.withColumn("x", F.pmod(F.xxhash64("a"), F.lit(blocks)))
+    load = placed.groupBy("x").agg(F.count(F.lit(1)).alias("load"))
+    deal = F.pmod(F.xxhash64("b"), F.ceil(F.col("load") / TEXT_BLOCK))
+    return placed.join(load, "x").withColumn("y", deal).drop("load")
+
+
+def verified(pairs: DataFrame, docs: DataFrame, carriers: DataFrame) -> DataFrame:
+    """The pairs (hub a, member b) of set ids that are links, as a written table.
+
+    Texts are fetched once each and sent to the places of their pairs, so
+    a text goes to a place once and not with each of its pairs.
     """
     needed = materialize(
         pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct(), "near-needed"
     )
-    blocks = max(1, -(-needed.count() // TEXT_BLOCK))
-    texts = texts_of(docs, materialize(first.join(needed, "set_id"), "near-carriers"))
-    block = lambda c: F.pmod(F.xxhash64(c), F.lit(blocks))
-    met = pairs.withColumn("x", F.least(block("a"), block("b"))).withColumn(
-        "y", F.greatest(block("a"), block("b"))
-    )
-    places = met.select("x", "y", F.col("a").alias("set_id")).union(met.select("x", "y", "b"))
-    sent = places.toDF("u", "v", "set_id").distinct().join(texts, "set_id")
-    sent = materialize(sent.select("u", "v", "set_id", "text"), "near-sent")
+    met = hub_places(pairs, max(1, -(-needed.count() // TEXT_BLOCK)))
+    ends = met.select("x", "y", F.col("a").alias("set_id")).union(met.select("x", "y", "b"))
+    texts = texts_of(docs, carriers.join(needed, "set_id"))
+    sent = ends.toDF("u", "v", "set_id").distinct().join(texts, "set_id")
     links = (
         met.groupBy("x", "y")
         .cogroup(sent.groupBy("u", "v"))
@@ -290,9 +371,9 @@ def verified(pairs: DataFrame, docs: DataFrame, first: DataFrame) -> DataFrame:
 
 
 def hub_links(
-    members: DataFrame, classes: DataFrame, docs: DataFrame, first: DataFrame
+    members: DataFrame, classes: DataFrame, docs: DataFrame, carriers: DataFrame
 ) -> tuple[DataFrame, DataFrame]:
-    """(pairs compared, links found) between the members of buckets and their hubs."""
+    """(hub of each bucket, links found between the members of buckets and their hubs)."""
     popular = members.groupBy("set_id").agg(F.sum("c").alias("pop"))
     hubs = materialize(
         members.join(popular, "set_id")
@@ -315,11 +396,25 @@ def hub_links(
         posed.select("a", "b", "sa", "sb").mapInPandas(posterior_filter, "a binary, b binary"),
         "near-survivors",
     )
-    return pairs, verified(survivors, docs, first)
+    return hubs, verified(survivors, docs, carriers)
+
+
+def dealt_to_places(rows: DataFrame, size: int) -> DataFrame:
+    """``rows`` with their block of ``c`` and a row for each place lo, hi of it."""
+    blocks = F.ceil(F.col("c") / size).cast("int")
+    return (
+        rows.withColumn("block", F.pmod(F.xxhash64("set_id"), blocks).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+        .withColumn("lo", F.least("block", "other"))
+        .withColumn("hi", F.greatest("block", "other"))
+    )
 
 
-def other_pairs(members: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs (a, b) across components that share a bucket and outlive the signatures."""
+def candidate_links(
+    members: DataFrame, hubs: DataFrame, labels: DataFrame, classes: DataFrame
+) -> DataFrame:
+    """Links (a, b) that join all sets which share a bucket, but no component,
+    and outlive the signatures, as a written table."""
     named = materialize(
         members.join(labels, "set_id", "left").select(
             "bucket", "band", "set_id", "n", "c", F.coalesce("label", "set_id").alias("label")
@@ -331,26 +426,59 @@ def other_pairs(members: DataFrame, labels: DataFrame, classes: DataFrame) -> Da
         .agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
         .where("lo <> hi")
         .select("bucket")
+        .join(hubs.select("bucket", F.col("hub.set_id").alias("hub_id")), "bucket")
     )
-    blocks = F.ceil(F.col("c") / BLOCK).cast("int")
-    left = (
-        named.join(materialize(several, "near-mixed"), "bucket", "left_semi")
-        .withColumn("block", F.pmod(F.xxhash64("set_id"), blocks).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        .withColumn("lo", F.least("block", "other"))
-        .withColumn("hi", F.greatest("block", "other"))
+    mixed_buckets = materialize(several, "near-mixed")
+    left = dealt_to_places(
+        named.join(mixed_buckets, "bucket").withColumn("is_hub", F.expr("set_id = hub_id")), BLOCK
     )
+    key = ["bucket", "lo", "hi"]
+    posed = left.join(classes.select("set_id", "signature"), "set_id").select(
+        *key, "band", "block", "set_id", "n", "label", "is_hub", "signature"
+    )
+    return materialize(
+        posed.repartition(partitions(posed.sparkSession), *key)
+        .sortWithinPartitions(*key)
+        .mapInPandas(join_buckets, "a binary, b binary")
+        .distinct(),
+        "near-candidates",
+    )
+
+
+def crowd_links(
+    candidates: DataFrame, labels: DataFrame, classes: DataFrame, docs: DataFrame, carriers: DataFrame
+) -> DataFrame:
+    """Links (a, b) within the crowds that ``candidates`` join, as a written table.
+
+    They connect whatever the links of a crowd connect.
+    """
+    crowds = components(candidates).select("set_id", F.xxhash64("label").alias("crowd"))
+    sizes = crowds.groupBy("crowd").agg(F.count(F.lit(1)).alias("c"))
+    # narrow rows first: the texts join what is known to need them
     posed = materialize(
-        left.join(classes.select("set_id", "signature"), "set_id").select(
-            "bucket", "lo", "hi", "band", "block", "set_id", "n", "label", "signature"
+        crowds.join(sizes, "crowd")
+        .join(labels, "set_id", "left")
+        .join(classes, "set_id")
+        .select(
+            "crowd",
+            "c",
+            "set_id",
+            F.col("n_shingles").alias("n"),
+            F.coalesce("label", "set_id").alias("label"),
+            "signature",
         ),
-        "near-posed",
+        "near-crowds",
     )
-    key = ["bucket", "lo", "hi"]
-    return (
-        posed.repartition(partitions(posed.sparkSession), *key)
+    texts = texts_of(docs, carriers.join(posed.select("set_id"), "set_id"))
+    key = ["crowd", "lo", "hi"]
+    met = dealt_to_places(posed.join(texts, "set_id"), TEXT_BLOCK).select(
+        *key, "block", "set_id", "n", "label", "signature", "text"
+    )
+    return materialize(
+        met.repartition(partitions(met.sparkSession), *key)
         .sortWithinPartitions(*key)
-        .mapInPandas(compare_blocks, "a binary, b binary")
+        .mapInPandas(verify_crowds, "a binary, b binary"),
+        "near-crowd-links",
     )
 
 
@@ -436,13 +564,22 @@ def could_link(n: str, m: str) -> str:
     return f"100 * least({n}, {m}) >= {THRESHOLD} * greatest({n}, {m})"
 
 
+def doc_key(doc_id: Column) -> Column:
+    """``doc_id`` with one key for all rows without it."""
+    return F.coalesce(doc_id, F.lit(NO_ID)).alias("doc_id")
+
+
+def text_hash() -> Column:
+    return F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash")
+
+
 def document_sets(docs: DataFrame) -> DataFrame:
     """doc_id, text_hash, n_shingles, set_id, signature of every row, written."""
     return materialize(
         docs.select(
             F.col("doc_id").cast("long"),
             F.col("text").cast("string"),
-            F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"),
+            text_hash(),
         ).mapInPandas(sets_of, SETS),
         "near-sets",
     )
@@ -456,7 +593,13 @@ def labelled(docs: DataFrame) -> DataFrame:
     """
     sets = document_sets(docs)
     full = sets.where("n_shingles > 0")
-    first = materialize(full.groupBy("set_id").agg(F.min("doc_id").alias("first")), "near-first")
+    first = materialize(
+        full.groupBy("set_id").agg(
+            F.min("doc_id").alias("first"),
+            F.min(F.struct("doc_id", "text_hash")).alias("carrier"),
+        ),
+        "near-first",
+    )
     # one row per class: any of its rows has its signature
     classes = materialize(
         full.groupBy("set_id").agg(
@@ -469,11 +612,11 @@ def labelled(docs: DataFrame) -> DataFrame:
         bands.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).where("c > 1"), "near-buckets"
     )
     members = materialize(bands.join(met, "bucket"), "near-members")
-    compared, links = hub_links(members, classes, docs, first)
-    rest = other_pairs(members, components(links), classes)
-    known = compared.union(compared.select("b", "a"))
-    rest = materialize(rest.join(known, ["a", "b"], "left_anti"), "near-rest")
-    labels = components(links.union(verified(rest, docs, first)))
+    carriers = first.select("set_id", "carrier")
+    hubs, links = hub_links(members, classes, docs, carriers)
+    labels = components(links)
+    candidates = candidate_links(members, hubs, labels, classes)
+    labels = components(links.union(crowd_links(candidates, labels, classes, docs, carriers)))
 
     groups = first.join(labels, "set_id", "left").select(
         "set_id", "first", F.coalesce("label", "set_id").alias("label")

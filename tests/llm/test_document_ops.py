@@ -73,6 +73,46 @@ def test_hub_with_many_copies(spark):
     assert got == brute_components(docs)
 
 
+def test_crowd_around_the_threshold(spark, monkeypatch):
+    monkeypatch.setattr(near_dups, "BLOCK", 16)
+    monkeypatch.setattr(near_dups, "TEXT_BLOCK", 16)
+    rng = random.Random(11)
+    base = [f"w{i}" for i in range(90)]
+    docs = []
+    for i in range(120):
+        words = list(base)
+        for place in rng.sample(range(90), 1 + i % 3):
+            words[place] = f"x{i}-{place}"
+        docs.append((i, " ".join(words)))
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    sent = []
+    write = near_dups.materialize
+
+    def noted(df, name):
+        out = write(df, name)
+        if name == "near-candidates":
+            sent.append(out.count())
+        return out
+
+    monkeypatch.setattr(near_dups, "materialize", noted)
+    got = {r.doc_id: r.component_id for r in near_dups.near_duplicates(frame).collect()}
+    assert got == brute_components(docs)
+    # a forest for each place of a bucket, not the pairs of the crowd
+    assert 0 < sent[0] < 120 * 119 / 4
+
+
+def test_rows_without_id_meet_their_own_class_only(spark):
+    rows = [(None, f"one text of five words and {i} more") for i in range(60)]
+    rows += [(5, "the same words in each of these rows")] * 40
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = near_dups.document_sets(frame)
+    carriers = sets.groupBy("set_id").agg(
+        near_dups.F.min(near_dups.F.struct("doc_id", "text_hash")).alias("carrier")
+    )
+    found = near_dups.texts_of(frame, carriers).collect()
+    assert len(found) == 61 and {r.text for r in found} == {t for _, t in rows}
+
+
 def test_near_duplicates_odd_rows(odd_docs, no_docs):
     rows = near_dups.near_duplicates(odd_docs).collect()
     assert len(rows) == 11
