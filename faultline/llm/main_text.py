@@ -78,7 +78,8 @@ MARKS = frozenset(
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
+    # a quote opens a value only behind an equals sign; any other one is part of a name
+    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]|=\s*+(?:\"[^\"]*\"|'[^']*'|[^\s\"'>][^\s>]*)?)*+)(?:>|\Z)",
     re.S,
 )
 # known phrases: the marks of these parts with what such parts are called
