@@ -2,7 +2,8 @@
 
 A bin holds up to ``capacity`` words. It carries a bitmap of the sources and
 one of the duplicate clusters it holds: no two pieces of one cluster share a
-bin, nor do more than ``per_source`` documents of one source. Pieces go in
+bin, nor do more documents of one source than its limit: ``per_source``, or
+twice its share of the fewest bins that hold all words, if that is more. Pieces go in
 order of size, largest first, each to the tightest bin that is compatible:
 bins lie by residual, and the search goes on to the next larger residual
 until one fits without conflict.
@@ -14,6 +15,7 @@ so a task holds a bounded number of narrow rows whatever the sources are.
 from __future__ import annotations
 
 from bisect import bisect_left, insort
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -35,20 +37,24 @@ def pack(
     sources: list[int],
     clusters: list[int],
     capacity: int = CAPACITY,
-    per_source: int = PER_SOURCE,
+    per_source: int | list[int] = PER_SOURCE,
 ) -> list[int]:
     """Bin of each piece, given in the order of packing; equal residuals: oldest bin.
 
-    A source's bitmap has ``per_source`` bits for it, filled from the lowest.
+    ``per_source`` is the limit of all sources or of each. A source has as
+    many bits in a bin's bitmap, filled from the lowest.
     """
+    if isinstance(per_source, int):
+        per_source = [per_source] * (max(sources, default=-1) + 1)
+    lows = list(accumulate(per_source, initial=0))
     by_residual: dict[int, list[int]] = {}
     residuals: list[int] = []
     source_bits: list[int] = []
     cluster_bits: list[int] = []
     out = []
     for size, source, cluster in zip(sizes, sources, clusters, strict=True):
-        low = source * per_source
-        full = ((1 << per_source) - 1) << low
+        low = lows[source]
+        full = ((1 << per_source[source]) - 1) << low
         mark = 1 << cluster
         chosen = residual = -1
         for at in range(bisect_left(residuals, size), len(residuals)):
@@ -80,6 +86,16 @@ def pack(
     return out
 
 
+def source_limits(words: int, counts: list[int], capacity: int, per_source: int) -> list[int]:
+    """Pieces of each source that a bin may hold.
+
+    A source of many short pieces would else fill bins with nothing but air:
+    at twice its mean in a full packing, half of the bins can hold them all.
+    """
+    bins = max(1, -(-words // capacity))
+    return [max(per_source, -(-2 * n // bins)) for n in counts]
+
+
 def pieces(sized: DataFrame, capacity: int) -> DataFrame:
     """A row for each ``capacity`` words of a document; an empty one has none."""
     n = F.ceil(F.col("size") / capacity).cast("int")
@@ -142,8 +158,11 @@ def place_pieces(
         )
         source = pd.factorize(part["source"], use_na_sentinel=False)[0]
         cluster = pd.factorize(part["cluster"])[0]
+        limits = source_limits(
+            int(part["words"].sum()), np.bincount(source).tolist(), capacity, per_source
+        )
         part["b"] = pack(
-            part["words"].tolist(), source.tolist(), cluster.tolist(), capacity, per_source
+            part["words"].tolist(), source.tolist(), cluster.tolist(), capacity, limits
         )
         in_bin = part.groupby("b", sort=False)
         part["slot"] = in_bin.cumcount()
