@@ -33,7 +33,11 @@ MIN_WORDS = 10
 #: ASCII white space, which parts words and is trimmed from lines.
 BLANKS = " \t\n\x0b\f\r"
 #: Characters of scripts that part no words by blanks, and how many of them count as a word.
-UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
+#: All come from U+0E00 on; the range rules out most others before their script is looked up.
+UNSPACED = (
+    r"[\x{0E00}-\x{10FFFF}&&"
+    r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]]"
+)
 CHARS_PER_WORD = 2
 #: Bits that hold the place of a class in its sort partition.
 PLACE_BITS = 40
@@ -43,15 +47,35 @@ def lines_of(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n")
 
 
+def spaced_words(line: Column) -> Column:
+    """Words between white space of a trimmed line.
+
+    Where nothing but single spaces parts them, their number follows from the
+    bytes; other lines are counted by pattern, which takes several times as long.
+    """
+    uneven = F.contains(line, F.lit("  "))
+    for blank in "\t\x0b\f\r":
+        uneven = uneven | F.contains(line, F.lit(blank))
+    spaces = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(" "), F.lit("")))
+    return (
+        F.when(line == "", 0)
+        .when(uneven, F.regexp_count(line, F.lit(WORD)))
+        .otherwise(spaces + 1)
+    )
+
+
 def words_in(line: Column) -> Column:
-    """Words between white space, or by characters of unspaced scripts, if these give more."""
-    words = F.regexp_count(line, F.lit(WORD))
-    unspaced = F.length(line) - F.length(F.regexp_replace(line, f"{UNSPACED}+", ""))
-    # such characters have three bytes or more
-    some = F.octet_length(line) - F.length(line) >= 4 * CHARS_PER_WORD
-    return F.when(
-        some, F.greatest(words, F.floor(unspaced / CHARS_PER_WORD).cast("int"))
-    ).otherwise(words)
+    """Words of a trimmed line, or by characters of unspaced scripts, if these give more."""
+
+    def more(words: Column) -> Column:
+        unspaced = F.length(line) - F.length(F.regexp_replace(line, f"{UNSPACED}+", ""))
+        # such characters have three bytes or more
+        some = F.octet_length(line) - F.length(line) >= 2 * CHARS_PER_WORD * (words + 1)
+        return F.when(
+            some, F.greatest(words, F.floor(unspaced / CHARS_PER_WORD).cast("int"))
+        ).otherwise(words)
+
+    return bind(spaced_words(line), more)
 
 
 def doc_key() -> Column:
@@ -92,9 +116,10 @@ def sequences(docs: DataFrame) -> DataFrame:
             doc_key(),
             entries(lines_of(F.col("text"))).alias("lines"),
         )
-        .where(F.size("lines") > 0)
         .groupBy("doc")
         .agg(F.first("lines").alias("lines"))
+        # behind the grouping, as a filter before it would compute the lines twice
+        .where(F.size("lines") > 0)
     )
 
 
