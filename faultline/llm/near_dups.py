@@ -616,7 +616,9 @@ def labelled(docs: DataFrame) -> DataFrame:
     hubs, links = hub_links(members, classes, docs, carriers)
     labels = components(links)
     candidates = candidate_links(members, hubs, labels, classes)
-    labels = components(links.union(crowd_links(candidates, labels, classes, docs, carriers)))
+    # what the first links join is a star already
+    stars = labels.select(F.col("set_id").alias("a"), F.col("label").alias("b"))
+    labels = components(stars.union(crowd_links(candidates, labels, classes, docs, carriers)))
 
     groups = first.join(labels, "set_id", "left").select(
         "set_id", "first", F.coalesce("label", "set_id").alias("label")
