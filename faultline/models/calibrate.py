@@ -104,6 +104,22 @@ def fit_isotonic(scored: DataFrame, score: str, label: str):
     return learner.fit(points)
 
 
+def with_shared_vectors(fold_stages: Sequence[Sequence]) -> tuple[list, list[str]]:
+    """The stages of all folds in a row, and the names of the vectors they make.
+
+    Feature stages follow from the categories that a fold knows. Folds that know
+    the same ones read one vector, so a row is turned into it once, not per fold.
+    """
+    stages, vectors = [], {}
+    for indexer, *others, classifier, curve in fold_stages:
+        known = tuple(map(tuple, indexer.labelsArray))
+        if known not in vectors:
+            vectors[known] = classifier.getFeaturesCol()
+            stages += [indexer, *others]
+        stages += [classifier.setFeaturesCol(vectors[known]), curve]
+    return stages, list(vectors.values())
+
+
 def fit_calibrated(
     train: DataFrame,
     key: str = "udi",
@@ -148,21 +164,15 @@ def fit_calibrated(
             )
     finally:
         assigned.unpersist()
-    stages = [stage for fold in fold_stages for stage in fold]
+    stages, vectors = with_shared_vectors(fold_stages)
     parts = [f"calibrated_{i}" for i in range(folds)]
-    helpers = [
+    made = [f"{name}_{i}" for name in ("raw", "probability", "prediction", "calibrated") for i in range(folds)]
+    of_vectors = [
         name
-        for i in range(folds)
-        for name in (
-            f"features_{i}",
-            *[f"features_{i}_{c}_index" for c in categorical],
-            *[f"features_{i}_{c}_onehot" for c in categorical],
-            f"raw_{i}",
-            f"probability_{i}",
-            f"prediction_{i}",
-            f"calibrated_{i}",
-        )
+        for vector in vectors
+        for name in (vector, *[f"{vector}_{c}_{kind}" for c in categorical for kind in ("index", "onehot")])
     ]
+    helpers = [*of_vectors, *made]
     mean = SQLTransformer(
         statement=(
             f"SELECT * EXCEPT ({', '.join(helpers)}), "

@@ -98,6 +98,20 @@ def test_calibrated(parts, calibrated):
     assert means[0] == pytest.approx(means[1], abs=0.06)
 
 
+def test_folds_with_equal_categories_share_their_vector(parts, calibrated):
+    kinds = [type(stage).__name__ for stage in calibrated.stages]
+    assert kinds.count("VectorAssembler") == 1 and kinds.count("GBTClassificationModel") == 3
+    # one row of the category: the folds that train without it keep a vector of their own
+    rare = F.when(F.col(KEY) == parts[0].agg(F.min(KEY)).first()[0], "R").otherwise(F.col("type"))
+    rows = parts[0].withColumn("type", rare)
+    model = calibrate.fit_calibrated(rows, KEY, maxIter=1, maxDepth=2)
+    labels = [stage.labelsArray[0] for stage in model.stages if hasattr(stage, "labelsArray")]
+    assert sorted(map(len, labels)) == [3, 4]
+    scored = score.with_failure_probability(rows, model)
+    assert scored.columns == [*rows.columns, "p_failure"]
+    check_scores(scored, 0.9)
+
+
 def test_saved_model_gives_the_same_scores(parts, calibrated, tmp_path):
     path = str(tmp_path / "model")
     train.save_model(calibrated, path)
