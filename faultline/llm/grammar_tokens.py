@@ -20,6 +20,7 @@ a symbol of its own and can be decoded without its neighbours.
 
 from __future__ import annotations
 
+import json
 import os
 import struct
 import zlib
@@ -48,6 +49,12 @@ CACHE_WORDS = 1_400_000
 #: Documents whose new words are encoded together.
 TOGETHER = 256
 SLOT_BITS = 16
+#: Steps of a normaliser that change no lower-case Latin letters parted by single blanks.
+SPARE_LETTERS = (
+    {"type": "NFC"},
+    {"type": "Lowercase"},
+    {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
+)
 
 BLOCKS = (
     "shard int, block int, n_docs int, n_tokens long, tokens_before long, "
@@ -89,12 +96,15 @@ def compress(
         slot >>= np.uint32(32 - SLOT_BITS)
         slot = slot.astype(np.int64)
         counts = np.bincount(slot, minlength=1 << SLOT_BITS)
-        likely = min(2 * RULES_PER_ROUND, np.count_nonzero(counts >= LEAST_COUNT))
-        if not likely:
+        frequent = hot = counts >= LEAST_COUNT
+        n_frequent = np.count_nonzero(frequent)
+        if not n_frequent:
             break
-        often = np.flatnonzero(counts[slot] >= LEAST_COUNT)
-        hot = np.zeros(1 << SLOT_BITS, bool)
-        hot[np.argpartition(counts, -likely)[-likely:]] = True
+        often = np.flatnonzero(frequent[slot])
+        likely = 2 * RULES_PER_ROUND
+        if n_frequent > likely:
+            hot = np.zeros(1 << SLOT_BITS, bool)
+            hot[np.argpartition(counts, -likely)[-likely:]] = True
         chosen = np.flatnonzero(hot[slot])
         at, place = live[chosen], slot[chosen]
         keys = (left[chosen].astype(np.uint64) << np.uint64(32)) | right[chosen]
@@ -230,6 +240,9 @@ class WordIds(dict):
     the tokenizer, and case is folded, so those share their entry. The
     tokenizer's ``added`` tokens are found by their case, before it is folded,
     so a chunk that holds one in any case stays as it is.
+
+    Pieces of lower-case Latin letters alone go to ``encode_letters``, if there
+    is one, and all others to ``encode``.
     """
 
     def __init__(
@@ -237,45 +250,74 @@ class WordIds(dict):
         encode: Callable[[list[str]], list[bytes]],
         added: Iterable[str] = (),
         limit: int = CACHE_WORDS,
+        encode_letters: Callable[[list[str]], list[bytes]] | None = None,
     ):
         super().__init__()
         self.encode, self.limit = encode, limit
+        self.encode_letters = encode_letters or encode
         added = [token.lower() for token in added]
         #: What every added token begins with; no word holds it if there are none.
         self.mark = os.path.commonprefix(added) if added else "\n"
 
-    def parts(self, chunk: bytes) -> tuple[str, ...]:
-        """The pieces that the tokenizer is asked for."""
-        text = chunk.decode()
-        if text.isascii() or max(text) < "Ā":
-            folded = text.lower()
-            if self.mark in folded:
-                return (text,)
-            text = folded
-            if text[-1] in ".,!?" and text[:-1].isalpha():
-                return text[:-1], text[-1]
-        return (text,)
-
     def learn(self, chunks: set[bytes]) -> None:
         """Make sure that all ``chunks`` are known."""
         if len(self) > self.limit:
             self.clear()
-        new = list(chunks.difference(self))
-        pieces = list(map(self.parts, new))
-        words = list({x for p in pieces for x in p if x.encode() not in self})
-        for word, ids in zip(words, self.encode(words), strict=True):
-            self[word.encode()] = ids
-        for chunk, p in zip(new, pieces, strict=True):
-            if chunk not in self:
-                self[chunk] = b"".join([self[x.encode()] for x in p])
+        # a set's difference with a dict of another class goes through that whole dict
+        new = [chunk for chunk in chunks if chunk not in self]
+        if not new:
+            return
+        letters: dict[str, bytes] = {}
+        others: dict[str, bytes] = {}
+        #: Chunks that are not a piece themselves, with the one or two that they stand for.
+        words: list[tuple[bytes, str]] = []
+        marked: list[tuple[bytes, str, str]] = []
+        # no chunk holds a line feed
+        for chunk, text in zip(new, b"\n".join(new).decode().split("\n"), strict=True):
+            if text.isascii() or max(text) < "Ā":
+                folded = text.lower()
+                if self.mark in folded:
+                    others[text] = b""
+                elif folded.isalpha():
+                    letters[folded] = b""
+                    if folded != text:
+                        words.append((chunk, folded))
+                elif folded[-1] in ".,!?" and folded[:-1].isalpha():
+                    letters[folded[:-1]] = others[folded[-1]] = b""
+                    marked.append((chunk, folded[:-1], folded[-1]))
+                else:
+                    others[folded] = b""
+                    if folded != text:
+                        words.append((chunk, folded))
+            else:
+                others[text] = b""
+        for pieces, encode in ((letters, self.encode_letters), (others, self.encode)):
+            unseen = []
+            for word in pieces:
+                known = self.get(word.encode())
+                if known is None:
+                    unseen.append(word)
+                else:
+                    pieces[word] = known
+            for word, ids in zip(unseen, encode(unseen), strict=True):
+                pieces[word] = self[word.encode()] = ids
+        for chunk, word in words:
+            self[chunk] = letters[word] if word in letters else others[word]
+        for chunk, word, mark in marked:
+            self[chunk] = letters[word] + others[mark]
 
 
 def word_ids(tokenizer_file: str) -> WordIds:
     """Ids of words, as u32 bytes, from one call for all new ones together.
 
     The words are encoded with blanks between them and parted by the offsets
-    of their ids.
+    of their ids. Words of lower-case Latin letters alone are one piece each for
+    the tokenizer, so where its model marks the last id of a piece they are
+    parted by that mark, and no offsets are asked for. A normaliser that leaves
+    such letters as they are is not asked either.
     """
+    # a call holds one text, so threads for several have nothing to do
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(tokenizer_file)
@@ -290,7 +332,32 @@ def word_ids(tokenizer_file: str) -> WordIds:
         edges = (4 * np.searchsorted(starts, begins)).tolist()
         return [ids[a:b] for a, b in zip(edges, edges[1:], strict=False)]
 
-    return WordIds(encode, [t.content for t in tokenizer.get_added_tokens_decoder().values()])
+    config = json.loads(tokenizer.to_str())
+    suffix = config["model"].get("end_of_word_suffix")
+    vocab = tokenizer.get_vocab()
+    is_last = np.zeros(max(vocab.values()) + 1, bool)
+    is_last[[i for token, i in vocab.items() if suffix and token.endswith(suffix)]] = True
+
+    of_letters = Tokenizer.from_file(tokenizer_file)
+    steps = config["normalizer"] or {}
+    if all(step in SPARE_LETTERS for step in steps.get("normalizers", [steps])):
+        of_letters.normalizer = None
+
+    def encode_letters(words: list[str]) -> list[bytes]:
+        if not words:
+            return []
+        (found,) = of_letters.encode_batch_fast([" ".join(words)], add_special_tokens=False)
+        ids = np.array(found.ids, "<u4")
+        ends = np.flatnonzero(is_last[ids]) + 1
+        # each word must end with a mark of its own, and nothing may follow the last
+        if len(ends) != len(words) or ends[-1] != len(ids):
+            return encode(words)
+        edges = [0, *(4 * ends).tolist()]
+        row = ids.tobytes()
+        return [row[a:b] for a, b in zip(edges, edges[1:], strict=False)]
+
+    added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+    return WordIds(encode, added, encode_letters=encode_letters if suffix else None)
 
 
 def blocks_of(

@@ -72,6 +72,42 @@ def test_added_tokens_keep_their_case():
             assert np.frombuffer(words[shown.encode()], "<u4").tolist() == expected
 
 
+def test_learning_words_does_not_go_through_the_whole_table():
+    class Table(grammar_tokens.WordIds):
+        def __iter__(self):
+            raise AssertionError("went through the table")
+
+    asked = []
+
+    def encode(words):
+        asked.extend(words)
+        return [w.encode() for w in words]
+
+    words = Table(encode)
+    words.learn({b"the", b"The,", b"x1"})
+    words.learn({b"THE", b"X1", b"the.", b"new"})
+    assert sorted(asked) == [",", ".", "new", "the", "x1"]
+    assert words[b"THE"] == b"the" and words[b"X1"] == b"x1" and words[b"the."] == b"the."
+
+
+def test_words_of_letters_have_the_ids_of_the_tokenizer():
+    tokenizer = Tokenizer.from_file(FILE)
+    words = grammar_tokens.word_ids(FILE)
+    letters = [chr(c) for c in range(256) if chr(c).isalpha()]
+    mixed = ["".join(letters[i : i + 7]) for i in range(0, len(letters), 3)]
+    shown = [*letters, *mixed, "THE", "Straße!", "l'été", "aª", "µm", "don't", "x²", "Ärger's,"]
+    # one call for all, as in a block of documents
+    words.learn({w.encode() for w in shown})
+    for word in shown:
+        expected = tokenizer.encode(word, add_special_tokens=False).ids
+        assert np.frombuffer(words[word.encode()], "<u4").tolist() == expected, word
+    plain = sorted({w.lower() for w in (*letters, *mixed) if w.lower() == w})
+    joined = b"".join(words.encode_letters(plain))
+    assert np.frombuffer(joined, "<u4").tolist() == tokenizer.encode(
+        " ".join(plain), add_special_tokens=False
+    ).ids
+
+
 @pytest.mark.parametrize("ids", [[], [1], [5, 5, 5, 5, 1], [7] * 500 + [1]])
 def test_grammar_edges(ids):
     ids = np.array(ids, np.uint32)
